@@ -75,18 +75,19 @@ def clean_measures(lines: DataFrame, rules: Sequence[UnitRule] = UNIT_RULES) ->
 
 def daily_panel(lines: DataFrame, master: DataFrame, rules: Sequence[UnitRule] = UNIT_RULES,
                 excluded: Sequence[str] = EXCLUDED_CATEGORIES, tz_hours: int = 7,
-                cutoff_hour: int = 17) -> DataFrame:
+                cutoff_hour: int = 17, keys: Sequence[str] = PANEL_KEYS) -> DataFrame:
     """P1 + J1 + P6 + P4 + P5 + A1 in one pass over the lines. Rows with a missing key are
-    left out, as grouping in the original does."""
+    left out, as grouping in the original does. Coarser `keys` go straight from the lines to
+    the coarser totals with a single small shuffle."""
     cleaned = clean_measures(drop_categories(enrich_sku(lines, master), excluded), rules)
     dated = cleaned.withColumn(DATE, business_date(DATE, tz_hours, cutoff_hour))
-    return aggregate_panel(dated)
+    return aggregate_panel(dated, keys)
 
 
 def aggregate_panel(lines: DataFrame, keys: Sequence[str] = PANEL_KEYS) -> DataFrame:
     """A1. Sum quantity and volume per day and key."""
     complete = lines
-    for k in (DATE, *keys):
+    for k in (DATE, *PANEL_KEYS):
         complete = complete.filter(F.col(k).isNotNull())
     return complete.groupBy(DATE, *keys).agg(F.sum(LINE_QTY).alias(QTY), F.sum(LINE_CBM).alias(CBM))
 
@@ -168,18 +169,23 @@ def densify_calendar(df: DataFrame, keys: Sequence[str] = PANEL_KEYS, scope: str
 
     Each row is expanded up to the day before the key's next row, so there is no skeleton
     table and no join with it: one shuffle by key, which later windows over the same key
-    reuse. The bounds come from a one-row (or one-row-per-year) aggregate.
+    reuse. The bounds come from a one-row (or one-row-per-year) aggregate over exactly the
+    columns of the series, so Spark reuses the shuffled rows instead of reading the source
+    a second time.
     """
+    df = df.select(date, *keys, *[as_column(m) for m in measures])
+    row = F.struct(*[as_column(c) for c in df.columns])
+    lo_day, hi_day = F.min(row)[date], F.max(row)[date]
     w = Window.partitionBy(*keys).orderBy(date)
     d = F.col(date)
     prev_day, next_day = F.lag(date).over(w), F.lead(date).over(w)
     if scope == "all":
-        bounds = df.agg(F.struct(F.min(date).alias("lo"), F.max(date).alias("hi"))).scalar()
+        bounds = df.agg(F.struct(lo_day.alias("lo"), hi_day.alias("hi"))).scalar()
         rows = df.select("*", prev_day.alias("_prev"), next_day.alias("_next"))
         lo, hi = bounds["lo"], bounds["hi"]
         same_prev, same_next = F.lit(True), F.lit(True)
     elif scope == "year":
-        years = df.groupBy(F.year(date).alias("_y")).agg(F.min(date).alias("_lo"), F.max(date).alias("_hi"))
+        years = df.groupBy(F.year(date).alias("_y")).agg(lo_day.alias("_lo"), hi_day.alias("_hi"))
         rows = (df.select("*", prev_day.alias("_prev"), next_day.alias("_next"))
                 .join(F.broadcast(years), F.year(date) == F.col("_y")))
         lo, hi = F.col("_lo"), F.col("_hi")

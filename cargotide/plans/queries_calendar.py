@@ -16,9 +16,9 @@ from .sqltext import FAR, Q, V, dow, flag as sflag, i, pos, r as rs, sql
 HEAD = "ACTUALSHIPDATE, CATEGORY"
 
 
-def base(spark: SparkSession, d: str) -> DataFrame:
-    """Gap-free series per category."""
-    return S.dense(spark, d)
+def base(spark: SparkSession, d: str, measures=()) -> DataFrame:
+    """Gap-free days per category."""
+    return S.dense(spark, d, measures=measures)
 
 
 def with_features(rows: DataFrame, features: K.Features, *floats: str) -> DataFrame:
@@ -181,7 +181,7 @@ def c14(spark: SparkSession, d: str) -> DataFrame:
 def c15(spark: SparkSession, d: str) -> DataFrame:
     """Volume on the closed days of a range."""
     closed = Cal.holiday_dates(S.calendar(spark), "business", "1996-06-01", "2000-03-31")
-    return base(spark, d).join(F.broadcast(closed), F.col(DATE) == F.col("date")).select(CATEGORY, "date", r(CBM).alias("cbm"))
+    return base(spark, d, (CBM,)).join(F.broadcast(closed), F.col(DATE) == F.col("date")).select(CATEGORY, "date", r(CBM).alias("cbm"))
 
 
 @query("C16_days_to_tet", sql(f"SELECT {HEAD}, {i('tet')} AS days_to_tet FROM {DAYS}", "dense", "days"))
@@ -255,7 +255,7 @@ def c21(spark: SparkSession, d: str) -> DataFrame:
     SELECT {HEAD}, {rs(f'least(1e0, greatest(0e0, coalesce({V}, 0e0) / CASE WHEN coalesce({Q}, 0) = 0 THEN 1e-3 ELSE {Q} END))')} AS cbm_per_qty
     FROM dense""", "dense"))
 def c22(spark: SparkSession, d: str) -> DataFrame:
-    return base(spark, d).select(DATE, CATEGORY, r(measures.density(CBM, QTY)).alias("cbm_per_qty"))
+    return base(spark, d, (QTY, CBM)).select(DATE, CATEGORY, r(measures.density(CBM, QTY)).alias("cbm_per_qty"))
 
 
 STATUS = f"""CASE WHEN ACTUALSHIPDATE IN (SELECT date FROM closed) THEN 'Holiday_OFF' WHEN isodow(ACTUALSHIPDATE) = 7 THEN 'Weekend_Downtime'
@@ -267,7 +267,7 @@ STATUS = f"""CASE WHEN ACTUALSHIPDATE IN (SELECT date FROM closed) THEN 'Holiday
       {sflag("s IN ('Holiday_OFF', 'Weekend_Downtime')")} AS is_expected_zero, {sflag("s = 'Operational_Anomaly'")} AS is_operational_anomaly
     FROM (SELECT *, {STATUS} AS s FROM dense)""", "dense", "closed"))
 def c23(spark: SparkSession, d: str) -> DataFrame:
-    out = E.operational_status(base(spark, d), S.calendar(spark), CBM)
+    out = E.operational_status(base(spark, d, (CBM,)), S.calendar(spark), CBM)
     return rounded(out.select(DATE, CATEGORY, "operational_status", F.col(f"`{CBM}`"), "is_expected_zero",
                               "is_operational_anomaly"), CBM)
 
@@ -277,7 +277,7 @@ def c23(spark: SparkSession, d: str) -> DataFrame:
     JOIN (SELECT CATEGORY, avg({V}) AS mean, stddev_pop({V}) AS std FROM s WHERE split = 'train' GROUP BY 1) USING (CATEGORY)""",
     "dense", extra={"s": SPLIT_SQL}))
 def c24(spark: SparkSession, d: str) -> DataFrame:
-    rows = base(spark, d)
+    rows = base(spark, d, (CBM,))
     scaler = stats.fit_scaler(sampling.temporal_split(rows).filter(F.col("split") == "train"))
     out = rows.join(scaler, CATEGORY).withColumn("scaled", measures.scale(CBM, "mean", "std"))
     return out.select(DATE, CATEGORY, r("scaled").alias("scaled"), r(measures.unscale("scaled", "mean", "std")).alias("unscaled"))

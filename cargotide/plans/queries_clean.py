@@ -26,7 +26,7 @@ def s1(spark: SparkSession, d: str) -> DataFrame:
     path = scratch_path(spark, "panel-years")
     W.write_panel(S.panel(spark, d), path, "csv")
     back = R.read_years(spark, path, range(1996, 2000), "year={year}")
-    return back.groupBy(F.year(DATE).alias("year"), CATEGORY).agg(
+    return back.groupBy(F.year(DATE).cast("bigint").alias("year"), CATEGORY).agg(
         F.count("*").alias("rows"), r(F.sum(f"`{CBM}`")).alias("cbm"))
 
 

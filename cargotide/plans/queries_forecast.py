@@ -171,7 +171,7 @@ def f14_brand(spark: SparkSession, d: str) -> DataFrame:
     FROM (SELECT *, row_number() OVER (PARTITION BY CATEGORY ORDER BY ACTUALSHIPDATE DESC) AS k FROM dense)""", "dense"))
 def f8(spark: SparkSession, d: str) -> DataFrame:
     tier = K.weekday_tier(DATE)
-    rows = S.dense(spark, d).select(DATE, CATEGORY).withColumns(tier)
+    rows = S.dense(spark, d, measures=()).withColumns(tier)
     rows = rows.withColumns(K.early_month(DATE, F.col("is_high_volume_weekday")))
     out = B.month_boundary_signal(rows, [CATEGORY])
     return out.select(DATE, CATEGORY, "is_first_5_days", r("post_peak_signal").alias("post_peak_signal"),

@@ -36,7 +36,7 @@ def j1(spark: SparkSession, d: str) -> DataFrame:
 @query("J2_densify_calendar", sql(f"""
     SELECT ACTUALSHIPDATE, CATEGORY, {rs(Q)} AS "Total QTY", {rs(V)} AS "Total CBM" FROM dense""", "dense"))
 def j2(spark: SparkSession, d: str) -> DataFrame:
-    return rounded(S.dense(spark, d), QTY, CBM).select(DATE, CATEGORY, F.col(f"`{QTY}`"), F.col(f"`{CBM}`"))
+    return rounded(S.dense(spark, d, measures=(QTY, CBM)), QTY, CBM).select(DATE, CATEGORY, F.col(f"`{QTY}`"), F.col(f"`{CBM}`"))
 
 
 @query("J2_densify_calendar_by_year", sql(f"""
@@ -100,7 +100,7 @@ def a8(spark: SparkSession, d: str) -> DataFrame:
 
 def flagged(spark: SparkSession, d: str) -> DataFrame:
     """Dense series with a few cheap features."""
-    return S.dense(spark, d).withColumns({**K.weekend(DATE), **K.temporal_cyclic(DATE), **K.end_of_month(DATE),
+    return S.dense(spark, d, measures=(QTY, CBM)).withColumns({**K.weekend(DATE), **K.temporal_cyclic(DATE), **K.end_of_month(DATE),
                                           "constant": F.lit(1)})
 
 

@@ -234,7 +234,7 @@ DENSITY = f"SELECT *, least(1e0, greatest(0e0, {V} / CASE WHEN {Q} = 0 THEN 1e-3
     LEFT JOIN x l ON l.CATEGORY = a.CATEGORY AND year(l.ACTUALSHIPDATE) = year(a.ACTUALSHIPDATE) - 1
       AND month(l.ACTUALSHIPDATE) = month(a.ACTUALSHIPDATE) AND day(l.ACTUALSHIPDATE) = day(a.ACTUALSHIPDATE)""", "dense", extra={"x": DENSITY}))
 def j4(spark: SparkSession, d: str) -> DataFrame:
-    out = O.prior_year_density(S.dense(spark, d)).select(DATE, CATEGORY, "cbm_per_qty", "cbm_per_qty_last_year")
+    out = O.prior_year_density(S.dense(spark, d, measures=(QTY, CBM))).select(DATE, CATEGORY, "cbm_per_qty", "cbm_per_qty_last_year")
     return rounded(out, "cbm_per_qty", "cbm_per_qty_last_year")
 
 

@@ -5,9 +5,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..columns import BRAND, CATEGORY, CBM, DATE, LINE_CBM, LINE_QTY, QTY, SKU, WAREHOUSE
+from ..columns import BRAND, CATEGORY, CBM, DATE, LINE_CBM, LINE_QTY, PANEL_KEYS, QTY, SKU, WAREHOUSE
 from ..functions.cleaning import UnitRule
-from ..operators.panel import aggregate_daily, daily_panel, densify_calendar, load_sku_master
+from ..operators.panel import daily_panel, densify_calendar, load_sku_master
 from ..sources.calendars import holiday_calendar
 from .stand_in_calendar import ANCHORS, CALENDAR_TEXT
 
@@ -19,8 +19,18 @@ RULES = (UnitRule("7", LINE_CBM, 16.0, 0.0270137), UnitRule("11", LINE_QTY, 120.
 UNIT_VOLUME = 0.00217348391
 
 
+SCHEMAS = {
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+                "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, "
+                "l_linestatus string, l_shipdate timestamp_ntz",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """With the schema given, planning needs no job to look into file footers."""
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _case(column: str, mapping: dict[str, str]):
@@ -53,18 +63,20 @@ def master(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load_sku_master(raw_master(spark, sf_dir))
 
 
-def panel(spark: SparkSession, sf_dir: str) -> DataFrame:
+def panel(spark: SparkSession, sf_dir: str, keys=PANEL_KEYS) -> DataFrame:
     """Daily rows per (warehouse, category, brand)."""
-    return daily_panel(lines(spark, sf_dir), master(spark, sf_dir), RULES)
+    return daily_panel(lines(spark, sf_dir), master(spark, sf_dir), RULES, keys=keys)
 
 
 def daily(spark: SparkSession, sf_dir: str, keys=(CATEGORY,)) -> DataFrame:
-    """Daily totals per key, without missing days."""
-    return aggregate_daily(panel(spark, sf_dir), keys, CBM)
+    """Daily totals per key; days without a shipment have no row."""
+    return panel(spark, sf_dir, keys)
 
 
-def dense(spark: SparkSession, sf_dir: str, keys=(CATEGORY,)) -> DataFrame:
-    return densify_calendar(daily(spark, sf_dir, keys), keys)
+def dense(spark: SparkSession, sf_dir: str, keys=(CATEGORY,), measures=(CBM,)) -> DataFrame:
+    """Daily totals per key without missing days. Ask for the measures that are used, so the
+    bounds of the calendar and the series share one shuffled aggregate."""
+    return densify_calendar(daily(spark, sf_dir, keys), keys, measures=measures)
 
 
 def calendar(spark: SparkSession) -> DataFrame:

@@ -60,7 +60,7 @@ def main(names: list[str]) -> int:
     spark.sparkContext.setLogLevel("OFF")
     con, failed = connect(sf_dir), 0
     for name, fn in queries.items():
-        if names and not any(name == n or name.startswith(n + "_") for n in names):
+        if names and not any(name == n or name.startswith(n if len(n) == 1 else n + "_") for n in names):
             continue
         start = time.time()
         try:

@@ -11,6 +11,7 @@ import datetime as dt
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -78,19 +79,31 @@ def scaled_series(df: DataFrame, scaler: DataFrame, keys: Keys, value: str, date
             .select(*keys, F.col(date).alias("date"), scale(value, "mean", "std").alias("value")))
 
 
+def _spread(df: DataFrame, by: Keys) -> DataFrame:
+    """Windows leave the tasks of their key: long series and few keys would otherwise keep
+    most of the cluster idle during the fit. The compact windows are moved, not their steps."""
+    spark = df.sparkSession
+    tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return df.repartition(tasks, *by)
+
+
 def fit_direct(train: DataFrame, inputs: int = 28, horizon: int = 31, keys: Keys = SERIES_KEYS, value: str = CBM,
                date: str = DATE, weight: Column | None = None, reg: float = 0.01) -> DirectModel:
     """F2. All steps at once: a row per window and step, features of the last `inputs` days and
-    of the label date. `weight` is an expression over `date`, `label` and the keys."""
+    of the label date. `weight` is an expression over `date`, `label` and the keys. The fit
+    passes over its rows more than once, so the windows are kept (spilling to disk) and their
+    steps are rebuilt in each pass: a step row repeats its inputs, a window holds them once."""
     scaler = fit_scaler(train, keys, value)
     windows = sliding_windows(scaled_series(train, scaler, keys, value, date), inputs, horizon, ["value"],
                               "value", keys, "date").withColumn("x", F.flatten("x"))
+    windows = _spread(windows, [*keys, "window_id"]).persist(StorageLevel.MEMORY_AND_DISK)
     steps = windows.select(*keys, "x", F.posexplode(F.arrays_zip("y_dates", "y")).alias("_p", "_s")).select(
         *keys, "x", (F.col("_p") + 1).alias("horizon_step"), F.col("_s.y_dates").alias("date"),
         F.col("_s.y").alias("label"))
     rows = _with_vector(steps, horizon).withColumn("weight", F.lit(1.0) if weight is None else weight)
     fitted = LinearRegression(featuresCol="features", labelCol="label", weightCol="weight", regParam=reg,
                               solver="normal", predictionCol="scaled").fit(rows.select("features", "label", "weight"))
+    windows.unpersist()
     return DirectModel(fitted, scaler, inputs, horizon, tuple(keys))
 
 
@@ -160,7 +173,8 @@ def teacher_forcing_eval(model: DirectModel, df: DataFrame, value: str = CBM, da
     windows = sliding_windows(raw, model.inputs, model.horizon, ["value"], "value", keys, "date")
     scaled = windows.join(model.scaler, keys).withColumn(
         "x", F.transform(F.flatten("x"), lambda v: (v - F.col("mean")) / F.col("std"))).drop("mean", "std")
-    rows = scaled.select(*keys, "window_id", "x", F.posexplode(F.arrays_zip("y_dates", "y")).alias("_p", "_s")).select(
+    rows = _spread(scaled, [*keys, "window_id"]).select(
+        *keys, "window_id", "x", F.posexplode(F.arrays_zip("y_dates", "y")).alias("_p", "_s")).select(
         *keys, "window_id", "x", (F.col("_p") + 1).alias("horizon_step"), F.col("_s.y_dates").alias("date"),
         F.col("_s.y").alias("actual"))
     out = _unscaled(model, rows).drop("x")

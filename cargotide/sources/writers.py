@@ -12,9 +12,7 @@ from ..operators.panel import with_business_year, with_labels
 
 
 def _write(df: DataFrame, path: str, fmt: str, partition_by: Sequence[str], mode: str) -> None:
-    """The rebalance hint gathers the rows of a folder, so a job does not leave one tiny file
-    per task and folder, while adaptive execution splits a folder that holds most rows."""
-    writer = df.hint("rebalance", *partition_by).write.mode(mode).partitionBy(*partition_by)
+    writer = df.write.mode(mode).partitionBy(*partition_by)
     if fmt == "csv":
         writer.option("header", True).csv(path)
     else:
@@ -22,14 +20,22 @@ def _write(df: DataFrame, path: str, fmt: str, partition_by: Sequence[str], mode
 
 
 def write_panel(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite", date: str = DATE) -> None:
-    """S8. Labels added, one folder per business year."""
-    _write(with_business_year(with_labels(df, date), date), path, fmt, ["year"], mode)
+    """S8. Labels added, one folder per business year. The rebalance hint gathers the rows of
+    a year instead of leaving one tiny file per task and year, while adaptive execution splits
+    a year that holds most of the rows."""
+    rows = with_business_year(with_labels(df, date), date).hint("rebalance", "year")
+    _write(rows, path, fmt, ["year"], mode)
 
 
 def write_forecasts(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite",
                     date: str = "date") -> None:
-    """S9. One folder per category, brand and year; reading the parent gives the combined set."""
-    _write(df.withColumn("year", F.year(date)), path, fmt, [CATEGORY, BRAND, "year"], mode)
+    """S9. One folder per category, brand and year; reading the parent gives the combined set.
+    A folder holds at most one row per day, so hashing the folders over the cluster leaves one
+    file in each and no hot task; the number of tasks is that of the cluster's slots, as the
+    cost is in opening files."""
+    folders = [CATEGORY, BRAND, "year"]
+    tasks = df.sparkSession.sparkContext.defaultParallelism
+    _write(df.withColumn("year", F.year(date)).repartition(tasks, *folders), path, fmt, folders, mode)
 
 
 def combined_forecasts(spark: SparkSession, path: str, fmt: str = "parquet", date: str = "date") -> DataFrame:

@@ -29,35 +29,47 @@ def _clip(df: DataFrame, events: DataFrame, date: str,
     return events
 
 
-def _neighbours(events: DataFrame) -> DataFrame:
-    by_date = Window.orderBy("date")
-    return (events.groupBy("date").agg(F.lit(1).alias("_one"))
-            .select("date", F.lead("date").over(by_date).alias("_next"),
-                    F.lag("date").over(by_date).alias("_prev")))
-
-
 def _days(start: Column, end: Column) -> Column:
     """Days from start to end; no day when the range is empty."""
     return F.explode(F.when(start <= end, F.sequence(start, end)).otherwise(
         F.array().cast("array<date>")))
 
 
+def with_neighbours(df: DataFrame, events: DataFrame, date: str = DATE) -> DataFrame:
+    """Add `_prev` (last event on or before the day) and `_next` (first event after it). The
+    window runs over the event table alone."""
+    by_date = Window.orderBy("date")
+    listed = events.select("date").distinct()
+    spans = listed.select("date", F.lead("date").over(by_date).alias("_next_event"))
+    table = spans.select(
+        _days(F.col("date"), F.coalesce(F.date_sub("_next_event", 1), F.col("date"))).alias("_day"),
+        F.col("date").alias("_prev_event"), "_next_event")
+    ends = listed.agg(F.struct(F.min("date").alias("first"), F.max("date").alias("last"))).scalar()
+    d = F.col(date)
+    return (df.join(F.broadcast(table), d == F.col("_day"), "left")
+            .withColumns({"_prev": F.coalesce("_prev_event", F.when(d >= ends["last"], ends["last"])),
+                          "_next": F.coalesce("_next_event", F.when(d < ends["first"], ends["first"]))})
+            .drop("_day", "_prev_event", "_next_event"))
+
+
+def _days_until(date: str, strict: bool, default: int | None) -> Column:
+    ahead = F.date_diff("_next", date)
+    if not strict:
+        ahead = F.when(F.col("_prev") == F.col(date), 0).otherwise(ahead)
+    return F.coalesce(ahead, F.lit(default).cast("int"))
+
+
+def _days_since(date: str, default: int | None) -> Column:
+    return F.coalesce(F.date_diff(date, "_prev"), F.lit(default).cast("int"))
+
+
 def next_event(df: DataFrame, events: DataFrame, out: str, date: str = DATE, strict: bool = True,
                default: int | None = FAR_AWAY, lookahead_days: int | None = None) -> DataFrame:
     """J7. Days until the next event, `default` if there is none. With `strict` an event on
     the day itself does not count."""
     known = _clip(df, events, date, None, lookahead_days)
-    pairs = _neighbours(known).filter(F.col("_next").isNotNull())
-    start = F.col("date") if strict else F.date_add("date", 1)
-    end = F.date_sub("_next", 1) if strict else F.col("_next")
-    table = pairs.select(_days(start, end).alias("_day"), F.col("_next").alias("_event"))
-    first = known.agg(F.min("date")).scalar()
-    d = F.col(date)
-    before_first = d < first if strict else d <= first
-    event = F.coalesce(F.col("_event"), F.when(before_first, first))
-    return (df.join(F.broadcast(table), F.col(date) == F.col("_day"), "left")
-            .withColumn(out, F.coalesce(F.date_diff(event, d), F.lit(default).cast("int")))
-            .drop("_day", "_event"))
+    return (with_neighbours(df, known, date).withColumn(out, _days_until(date, strict, default))
+            .drop("_prev", "_next"))
 
 
 def last_event(df: DataFrame, events: DataFrame, out: str, date: str = DATE,
@@ -66,15 +78,8 @@ def last_event(df: DataFrame, events: DataFrame, out: str, date: str = DATE,
     """J8. Days since the last event on or before the day, `default` if there is none.
     `lookback_days` hides events more than so many days before the frame's first day."""
     known = _clip(df, events, date, lookback_days, lookahead_days)
-    pairs = _neighbours(known).filter(F.col("_next").isNotNull())
-    table = pairs.select(_days(F.col("date"), F.date_sub("_next", 1)).alias("_day"),
-                         F.col("date").alias("_event"))
-    final = known.agg(F.max("date")).scalar()
-    d = F.col(date)
-    event = F.coalesce(F.col("_event"), F.when(d >= final, final))
-    return (df.join(F.broadcast(table), F.col(date) == F.col("_day"), "left")
-            .withColumn(out, F.coalesce(F.date_diff(d, event), F.lit(default).cast("int")))
-            .drop("_day", "_event"))
+    return (with_neighbours(df, known, date).withColumn(out, _days_since(date, default))
+            .drop("_prev", "_next"))
 
 
 def nearest_event(df: DataFrame, events: DataFrame, out: str, date: str = DATE,
@@ -107,11 +112,14 @@ def flag_membership(df: DataFrame, dates: DataFrame, out: str, date: str = DATE)
 
 def holiday_features(df: DataFrame, holidays: DataFrame, date: str = DATE,
                      lookback_days: int | None = None, lookahead_days: int | None = None) -> DataFrame:
-    """C13. Holiday flag, days until the next and since the last holiday."""
-    out = flag_membership(df, holidays, "holiday_indicator", date)
-    out = next_event(out, holidays, "days_until_next_holiday", date, lookahead_days=lookahead_days)
-    return last_event(out, holidays, "days_since_holiday", date, lookback_days=lookback_days,
-                      lookahead_days=lookahead_days)
+    """C13. Holiday flag, days until the next and since the last holiday, from one join. A
+    holiday hidden by `lookback_days` lies before the frame, so it is nobody's next one."""
+    known = _clip(df, holidays, date, lookback_days, lookahead_days)
+    return (with_neighbours(df, known, date)
+            .withColumns({"holiday_indicator": flag(F.col("_prev") == F.col(date)),
+                          "days_until_next_holiday": _days_until(date, True, FAR_AWAY),
+                          "days_since_holiday": _days_since(date, FAR_AWAY)})
+            .drop("_prev", "_next"))
 
 
 def days_to_tet(df: DataFrame, calendar: DataFrame, date: str = DATE) -> DataFrame:

@@ -98,6 +98,20 @@ def c8(spark: SparkSession, d: str) -> DataFrame:
     return with_features(base(spark, d), K.early_month(DATE), "post_peak_signal")
 
 
+@query("C8_early_month_with_tier", sql(f"""
+    SELECT {HEAD}, {i(f'CASE WHEN {DAY} <= 5 THEN -10 WHEN {DAY} <= 10 THEN 1 ELSE 2 END')} AS early_month_low_tier,
+      {sflag(f'{DAY} <= 10')} AS is_early_month_low, {sflag(f'{DAY} <= 5')} AS is_first_5_days, {sflag(f'{DAY} <= 3')} AS is_first_3_days,
+      {i(f'{DAY} - 1')} AS days_from_month_start, {rs(f'exp(-3e-1 * ({DAY} - 1))')} AS post_peak_signal,
+      {i(f"CASE WHEN NOT ({DN} IN ('Wednesday', 'Friday') OR (CATEGORY = 'FRESH' AND {DN} = 'Monday')) OR {DAY} > 10 THEN 0 WHEN {DAY} <= 5 THEN -5 ELSE -2 END")} AS "is_high_vol_weekday_AND_early_month"
+    FROM dense""", "dense"))
+def c8_tier(spark: SparkSession, d: str) -> DataFrame:
+    """With the busy weekdays of each category's profile."""
+    tier = K.by_category(CATEGORY, lambda p: K.weekday_tier(DATE, p))
+    rows = base(spark, d).select(DATE, CATEGORY).withColumns(tier)
+    f = K.early_month(DATE, F.col("is_high_volume_weekday"))
+    return rounded(rows.withColumns(f).select(DATE, CATEGORY, *f), "post_peak_signal")
+
+
 @query("C9_lunar_date", sql(f"""SELECT {HEAD}, {i(f"{pos('ACTUALSHIPDATE')} // 30 + 1")} AS lunar_month,
     {i(f"{pos('ACTUALSHIPDATE')} % 30 + 1")} AS lunar_day FROM dense""", "dense"))
 def c9(spark: SparkSession, d: str) -> DataFrame:

@@ -171,7 +171,7 @@ def densify_calendar(df: DataFrame, keys: Sequence[str] = PANEL_KEYS, scope: str
     table and no join with it: one shuffle by key, which later windows over the same key
     reuse. The bounds come from a one-row (or one-row-per-year) aggregate over exactly the
     columns of the series, so Spark reuses the shuffled rows instead of reading the source
-    a second time.
+    a second time (the row count keeps the optimizer from planning the bounds differently).
     """
     df = df.select(date, *keys, *[as_column(m) for m in measures])
     row = F.struct(*[as_column(c) for c in df.columns])
@@ -180,12 +180,12 @@ def densify_calendar(df: DataFrame, keys: Sequence[str] = PANEL_KEYS, scope: str
     d = F.col(date)
     prev_day, next_day = F.lag(date).over(w), F.lead(date).over(w)
     if scope == "all":
-        bounds = df.agg(F.struct(lo_day.alias("lo"), hi_day.alias("hi"))).scalar()
+        bounds = df.agg(F.struct(lo_day.alias("lo"), hi_day.alias("hi"), F.count("*").alias("rows"))).scalar()
         rows = df.select("*", prev_day.alias("_prev"), next_day.alias("_next"))
         lo, hi = bounds["lo"], bounds["hi"]
         same_prev, same_next = F.lit(True), F.lit(True)
     elif scope == "year":
-        years = df.groupBy(F.year(date).alias("_y")).agg(lo_day.alias("_lo"), hi_day.alias("_hi"))
+        years = df.groupBy(F.year(date).alias("_y")).agg(lo_day.alias("_lo"), hi_day.alias("_hi"), F.count("*").alias("_rows"))
         rows = (df.select("*", prev_day.alias("_prev"), next_day.alias("_next"))
                 .join(F.broadcast(years), F.year(date) == F.col("_y")))
         lo, hi = F.col("_lo"), F.col("_hi")

@@ -192,11 +192,8 @@ def brand_accuracy(df: DataFrame, category: str = CATEGORY, brand: str = BRAND)
     known = _act().isNotNull()
     n = F.count(F.when(known, 1))
     total_p = F.when(n > 0, F.sum(F.when(known, _pred()))).otherwise(F.sum(_pred()))
-    total_a = F.sum(_act())
-    total_e = F.sum(F.when(known, _err()))
-    return (df.groupBy(category, brand).agg(*_brand_scores(known, n, total_p, total_a, total_e))
-            .unionByName(df.groupBy(category).agg(*_brand_scores(known, n, total_p, total_a, total_e))
-                         .withColumn(brand, F.lit(None).cast("string"))))
+    scores = _brand_scores(known, n, total_p, F.sum(_act()), F.sum(F.when(known, _err())))
+    return df.groupingSets([[F.col(category), F.col(brand)], [F.col(category)]], F.col(category), F.col(brand)).agg(*scores)
 
 
 def _brand_scores(known: Column, n: Column, total_p: Column, total_a: Column, total_e: Column) -> list[Column]:

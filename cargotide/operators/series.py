@@ -103,27 +103,26 @@ def moving_average_baseline(df: DataFrame, window: int = 7, keys: Keys = SERIES_
 
 # ---------------------------------------------------------------- last year
 
-def shift_years(df: DataFrame, years: int, keys: Keys, value: str, out: str, date: str = DATE) -> DataFrame:
-    """(key, day + years, value) with one row per day: 29 February has no counterpart in the
-    target year and is left out, so 28 February is not doubled."""
-    moved = F.add_months(date, 12 * years)
-    return (df.filter(F.dayofmonth(moved) == F.dayofmonth(date))
-            .select(*keys, moved.alias(date), as_column(value).alias(out)))
+def same_day_earlier(value: str | Column, years: int, keys: Keys, date: str = DATE) -> Column:
+    """Value of the same calendar day `years` earlier, null if the key has no row there or the
+    day is 29 February. The day lies one of a few whole numbers of days back, so it is read
+    with range frames of one day each: no join, and the shuffle by key that other windows use."""
+    d = F.col(date)
+    earlier = F.add_months(d, -12 * years)
+    gap = F.when(F.dayofmonth(earlier) == F.dayofmonth(d), F.date_diff(d, earlier))
+    usual = 365 * years + years // 4
+    by_day = Window.partitionBy(*keys).orderBy(F.unix_date(d))
+    picks = [F.when(gap == n, F.max(as_column(value)).over(by_day.rangeBetween(-n, -n)))
+             for n in range(usual - 1, usual + 2)]
+    return F.coalesce(*picks)
 
 
 def yoy_volume(df: DataFrame, years: Sequence[int] = (1, 2), keys: Keys = SERIES_KEYS, value: str = CBM,
                date: str = DATE, names: dict[int, str] | None = None) -> DataFrame:
-    """J5. Same calendar day of earlier years, 0 if there is none. All shifted copies are
-    stacked and summed by (key, day), so the number of years adds no join and no shuffle."""
+    """J5. Same calendar day of earlier years, 0 if there is none."""
     names = names or {1: "cbm_last_year", 2: "cbm_2_years_ago"}
-    earlier = [shift_years(df, n, keys, value, "_v", date).withColumn("_n", F.lit(n)) for n in years]
-    stacked = earlier[0]
-    for other in earlier[1:]:
-        stacked = stacked.unionByName(other)
-    wide = stacked.groupBy(*keys, date).agg(
-        *[F.max(F.when(F.col("_n") == n, F.col("_v"))).alias(names[n]) for n in years])
-    return (df.join(wide, [*keys, date], "left")
-            .withColumns({names[n]: F.coalesce(names[n], F.lit(0.0)) for n in years}))
+    return df.withColumns({names[n]: F.coalesce(same_day_earlier(value, n, keys, date), F.lit(0.0))
+                           for n in years})
 
 
 def prior_year_density(df: DataFrame, keys: Keys = SERIES_KEYS, date: str = DATE,
@@ -131,9 +130,8 @@ def prior_year_density(df: DataFrame, keys: Keys = SERIES_KEYS, date: str = DATE
     """C22 + J4. Density of the day and of the same day last year; where that is missing the
     key's median, then the overall median (W17)."""
     now = df.withColumn("cbm_per_qty", density(cbm, qty))
-    before = shift_years(now, 1, keys, "cbm_per_qty", "cbm_per_qty_last_year", date)
-    joined = now.join(before, [*keys, date], "left")
-    return median_fill(joined, "cbm_per_qty_last_year", keys, source="cbm_per_qty")
+    both = now.withColumn("cbm_per_qty_last_year", same_day_earlier("cbm_per_qty", 1, keys, date))
+    return median_fill(both, "cbm_per_qty_last_year", keys, source="cbm_per_qty")
 
 
 def median_fill(df: DataFrame, value: str, keys: Keys = SERIES_KEYS, source: str | None = None) -> DataFrame:

@@ -13,6 +13,7 @@ from ..functions import calendar as K, lunar as L
 from ..functions.cleaning import UNIT_RULES, UnitRule
 from ..operators import events, forecast, history, panel, rules, sampling, scoring, series, stats
 from ..sources import writers
+from ..session import cut_lineage
 from ..sources.calendars import holiday_dates
 
 Keys = Sequence[str]
@@ -49,9 +50,10 @@ def feature_frame(daily: DataFrame, calendar: DataFrame, anchors: L.Anchors = L.
                   keys: Keys = SERIES_KEYS, lunar_yoy: bool = True) -> DataFrame:
     """A gap-free daily frame (date, keys, quantity, volume) to the training frame: status,
     carry-over, density, year-over-year, rolling features, then the calendar features last,
-    so joins and windows move narrow rows."""
+    so joins and windows move narrow rows. Density medians and the lunar lookup read the
+    series several times, so it is checkpointed once at that point."""
     out = events.operational_status(daily, calendar, CBM)
-    out = series.carryover_train(out, keys)
+    out = cut_lineage(series.carryover_train(out, keys))
     out = series.prior_year_density(out, keys)
     if lunar_yoy:
         out = history.lunar_yoy_volume(out, keys=keys, anchors=anchors)

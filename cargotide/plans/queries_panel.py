@@ -50,7 +50,7 @@ def j2(spark: SparkSession, d: str) -> DataFrame:
     GROUP BY ALL""".replace("WHSEID, CATEGORY, BRAND, count", "s.WHSEID, s.CATEGORY, s.BRAND, count"), "panel"))
 def j2_year(spark: SparkSession, d: str) -> DataFrame:
     """All warehouse, category and brand series, filled within each year."""
-    full = P.densify_calendar(S.panel(spark, d), PANEL_KEYS, "year")
+    full = P.densify_calendar(S.panel(spark, d), PANEL_KEYS, "year", measures=(CBM,))
     v = F.col(f"`{CBM}`")
     return full.groupBy(F.year(DATE).alias("year"), *PANEL_KEYS).agg(
         F.count("*").alias("days"), F.count(F.when(v == 0, 1)).alias("zero_days"), r(F.sum(v)).alias("cbm"))
@@ -110,8 +110,8 @@ FEATURE_SQL = f"""SELECT *, {dow()} AS day_of_week, CASE WHEN {dow()} >= 5 THEN
     day(last_day(ACTUALSHIPDATE)) - day(ACTUALSHIPDATE) AS days_until_month_end, 1 AS constant FROM dense"""
 
 
-def _union(template) -> str:
-    return " UNION ALL ".join(template(f) for f in FEATURES)
+def _union(template, names=FEATURES) -> str:
+    return " UNION ALL ".join(template(f) for f in names)
 
 
 @query("A9_feature_target_correlations", sql(_union(lambda f: f"""
@@ -122,10 +122,10 @@ def a9(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("A10_feature_ranges", sql(_union(lambda f: f"""
-    SELECT '{f}' AS feature, {rs(f'min("{f}")::DOUBLE')} AS min, {rs(f'max("{f}")::DOUBLE')} AS max FROM x"""),
+    SELECT '{f}' AS feature, {rs(f'min("{f}")::DOUBLE')} AS min, {rs(f'max("{f}")::DOUBLE')} AS max FROM x""", [*FEATURES, CBM]),
     "dense", extra={"x": FEATURE_SQL}))
 def a10(spark: SparkSession, d: str) -> DataFrame:
-    return rounded(stats.feature_ranges(flagged(spark, d), FEATURES), "min", "max")
+    return rounded(stats.feature_ranges(flagged(spark, d), [*FEATURES, CBM]), "min", "max")
 
 
 SPLIT_SQL = """SELECT *, CASE WHEN rn <= floor(7e-1 * n) THEN 'train' WHEN rn <= floor(7e-1 * n) + floor(1e-1 * n) THEN 'val'

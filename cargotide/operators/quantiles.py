@@ -27,10 +27,14 @@ def exact_quantiles(df: DataFrame, value: str, qs: Sequence[float], accuracy: in
         F.count("*").alias("n"), F.min("_v").alias("lo"), F.max("_v").alias("hi"),
         F.percentile_approx("_v", [float(m) for m in marks], accuracy).alias("marks")).alias("s")).scalar()
 
+    # below `accuracy` rows the spare ranks of a bracket are less than the two that
+    # interpolation can need, and so few rows are simply all inside
+    small = sketch["n"] < accuracy
+
     def bracket(i: int, q: float):
         low = sketch["lo"] if q - margin <= 0 else F.element_at(sketch["marks"], 2 * i + 1)
         high = sketch["hi"] if q + margin >= 1 else F.element_at(sketch["marks"], 2 * i + 2)
-        return low, high
+        return F.when(small, sketch["lo"]).otherwise(low), F.when(small, sketch["hi"]).otherwise(high)
 
     brackets = [bracket(i, q) for i, q in enumerate(qs)]
     # per wanted quantile: the bracket's distinct values with counts, below-counts as one value

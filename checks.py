@@ -32,7 +32,7 @@ def canonical(rows, names, order):
     return sorted((tuple(repr(row[k]) for k in take) for row in rows))
 
 
-def compare(df, seconds, con, text) -> str:
+def compare(df, con, text) -> str:
     rel = con.sql(text)
     names, kinds = rel.columns, [str(t) for t in rel.types]
     wanted = rel.fetchall()
@@ -66,7 +66,7 @@ def main(names: list[str]) -> int:
         try:
             df = fn(spark, sf_dir)
             if name in oracles:
-                message = compare(df, 0, con, oracles[name])
+                message = compare(df, con, oracles[name])
             else:
                 message = f"ok {len(df.collect())} rows (no SQL)"
         except Exception as error:  # report and go on

@@ -256,13 +256,15 @@ SPARSE = "SELECT * FROM daily WHERE CATEGORY <> 'MOONCAKE' OR day(ACTUALSHIPDATE
 
 
 @query("J6_lunar_yoy_volume", sql(f"""
-    SELECT a.ACTUALSHIPDATE, a.CATEGORY, {rs('coalesce(m1.v, 0e0)')} AS cbm_last_year, {rs('coalesce(m2.v, 0e0)')} AS cbm_2_years_ago
+    SELECT a.ACTUALSHIPDATE, a.CATEGORY, {rs(f'a.{V}')} AS cbm, {rs('coalesce(m1.v, 0e0)')} AS cbm_last_year,
+      {rs('coalesce(m2.v, 0e0)')} AS cbm_2_years_ago
     FROM sparse a LEFT JOIN m1 ON m1.d = a.ACTUALSHIPDATE AND m1.c = a.CATEGORY LEFT JOIN m2 ON m2.d = a.ACTUALSHIPDATE AND m2.c = a.CATEGORY""",
     "daily", extra={"sparse": SPARSE, "cyc": CYC, "offs": OFFS, "m1": lunar_match("sparse", 1), "m2": lunar_match("sparse", 2)}))
 def j6(spark: SparkSession, d: str) -> DataFrame:
     """One category has a row every fifth day only, so the tolerance decides."""
     out = H.lunar_yoy_volume(_sparse(spark, d), anchors=S.ANCHORS)
-    return rounded(out.select(DATE, CATEGORY, "cbm_last_year", "cbm_2_years_ago"), "cbm_last_year", "cbm_2_years_ago")
+    names = ["cbm", "cbm_last_year", "cbm_2_years_ago"]
+    return rounded(out.withColumnRenamed(CBM, "cbm").select(DATE, CATEGORY, *names), *names)
 
 
 def _sparse(spark: SparkSession, d: str) -> DataFrame:

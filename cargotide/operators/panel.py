@@ -14,7 +14,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..columns import BRAND, CATEGORY, CBM, DATE, LINE_CBM, LINE_QTY, PANEL_KEYS, QTY, SERIES_KEYS, SKU, WAREHOUSE
+from ..columns import BRAND, CATEGORY, CBM, DATE, LINE_CBM, LINE_QTY, PANEL_KEYS, QTY, SERIES_KEYS, SKU
 from ..functions.cleaning import (EXCLUDED_CATEGORIES, UNIT_RULES, UnitRule, as_column, business_date,
                                   category_allowed, day_label, rescale_outlier, unit_override, week_label)
 

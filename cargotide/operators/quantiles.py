@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from ..functions.cleaning import as_column
 
 
-def exact_quantiles(df: DataFrame, value: str, qs: Sequence[float], accuracy: int = 100_000) -> DataFrame:
+def exact_quantiles(df: DataFrame, value: str, qs: Sequence[float], accuracy: int = 10_000) -> DataFrame:
     """One row with `quantiles`: exact linear-interpolated quantiles, nulls ignored.
 
     First pass: a mergeable sketch brackets each wanted rank; its rank error is at most

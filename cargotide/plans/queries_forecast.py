@@ -7,8 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..columns import BRAND, CATEGORY, CBM, DATE
 from ..functions import calendar as K, lunar as L
 from ..functions.measures import WeightProfile, sample_weight
-from ..operators import forecast as X, history as H, rules as B, sampling, series
-from ..operators.stats import encode_categories  # noqa: F401
+from ..operators import forecast as X, history as H, rules as B
 from . import shipments as S
 from .catalog import query, r, rounded
 from .sqltext import V, dow, flag as sflag, i, pos, r as rs, sql

@@ -9,11 +9,11 @@ from ..functions import calendar as K
 from ..operators import events as E, history as H, stats
 from ..sources.calendars import holiday_dates
 from . import shipments as S
-from .catalog import query, r, rounded
+from .catalog import query, rounded
 from .queries_calendar import TIER
 from .queries_forecast import forecast_frame
 from .queries_series import CYC, OFFS, lunar_match
-from .sqltext import V, flag as sflag, i, r as rs, sql
+from .sqltext import V, r as rs, sql
 
 
 def _attach(missing: str) -> None:

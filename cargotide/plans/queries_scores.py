@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..columns import BRAND, CATEGORY, CBM, DATE
+from ..columns import BRAND, CATEGORY, CBM
 from ..functions.measures import WeightProfile, sample_weight
 from ..operators import forecast as X, quantiles, sampling, scoring as Sc
 from . import shipments as S
 from .catalog import query, r, rounded
 from .queries_forecast import forecast_frame
-from .sqltext import V, b, i, pos, r as rs, sql
+from .sqltext import V, i, r as rs, sql
 
 E_ = "(predicted - actual)"
 MAE, MSE = f"avg(abs{E_})", f"avg({E_} * {E_})"

@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..columns import BRAND, CATEGORY, CBM, DATE, PANEL_KEYS, QTY
-from ..operators import events as E, forecast as X, history as H, panel as P, sampling as W, series as O
+from ..operators import events as E, history as H, panel as P, sampling as W, series as O
 from . import shipments as S
 from .catalog import query, r, rounded
 from .queries_calendar import STATUS
 from .queries_panel import SPLIT_SQL
-from .sqltext import Q, V, b, i, pos, r as rs, sql
+from .sqltext import Q, V, i, pos, r as rs, sql
 
 HEAD = "ACTUALSHIPDATE, CATEGORY"
 BY = "PARTITION BY CATEGORY ORDER BY ACTUALSHIPDATE"
@@ -43,11 +43,6 @@ def w2(spark: SparkSession, d: str) -> DataFrame:
     return rounded(out.select(DATE, CATEGORY, "momentum_3d_vs_14d"), "momentum_3d_vs_14d")
 
 
-def yoy_sql(n: int) -> str:
-    """Same month and day n years earlier."""
-    return f"""(SELECT ACTUALSHIPDATE AS d0, CATEGORY AS c0, {V} AS v{n} FROM dense)"""
-
-
 YOY = f"""SELECT a.*, coalesce(l1.{V}, 0e0) AS cbm_last_year, coalesce(l2.{V}, 0e0) AS cbm_2_years_ago FROM dense a
     LEFT JOIN dense l1 ON l1.CATEGORY = a.CATEGORY AND year(l1.ACTUALSHIPDATE) = year(a.ACTUALSHIPDATE) - 1
       AND month(l1.ACTUALSHIPDATE) = month(a.ACTUALSHIPDATE) AND day(l1.ACTUALSHIPDATE) = day(a.ACTUALSHIPDATE)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,20 +27,21 @@ def build_session(app_name: str = "cargotide", master: str | None = None, **conf
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and scratch tables.
 
-    `spark.checkpoint.dir` of the session wins. Only where it is unset (tests on one
-    machine) a temporary folder is created.
+    `spark.checkpoint.dir` of the session wins, then a folder set on the context. Where both
+    are unset it is a folder beside the warehouse, which executors share; a warehouse on a
+    local disk is refused unless the master is local too.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
     context = spark.sparkContext
-    if configured:
-        if not context.getCheckpointDir():
-            context.setCheckpointDir(configured)
-        return configured
-    current = context.getCheckpointDir()
-    if current:
-        return current
-    context.setCheckpointDir(tempfile.mkdtemp(prefix="cargotide-ckpt-"))
-    return context.getCheckpointDir()
+    configured = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not configured:
+        warehouse = spark.conf.get("spark.sql.warehouse.dir")
+        local = warehouse.startswith(("file:", "/"))
+        if local and not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        configured = f"{warehouse.rstrip('/')}/_scratch"
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(configured)
+    return configured
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
@@ -49,7 +49,9 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: survives the loss of executors and keeps plans short."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def cut_lineage(df: DataFrame, label: str = "table") -> DataFrame:
+    """Write to the shared folder and read back: survives the loss of executors, computes the
+    rows once, keeps plans short and leaves column pruning to the reader."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

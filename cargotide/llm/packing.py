@@ -75,7 +75,7 @@ class Encoder:
         parts = [np.zeros(0, np.uint32)]
         if len(latin):
             own = distinct.take(pa.array(latin))
-            joined = pc.binary_join(pa.LargeListArray.from_arrays(pa.array([0, len(own)], pa.int64()), own), " ")[0].as_py()
+            joined = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(own)], pa.int32()), own.cast(pa.string())), " ")[0].as_py()
             ids = np.asarray(self.ranks.encode_to_numpy(" " + joined), np.uint32)
             ends = np.cumsum(pc.binary_length(own).to_numpy() + 1)
             after = np.searchsorted(np.cumsum(self.n_bytes[ids]), ends) + 1

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, mixing, packing
+from . import exact_dedup, license_scan, mixing, packing, perplexity
 from .common import table
 from .tokenizer_files import byte_bpe
 
@@ -19,12 +19,20 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(table(spark, sf_dir, "documents"))
 
 
+def op6_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return perplexity.quality_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_files=byte_bpe())
 
 
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.license_report(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_exact_dedup, op5_mixing, op7_packing)}
+    f.__name__: f for f in (op2_exact_dedup, op5_mixing, op6_perplexity, op7_packing, op8_license_scan)}
 
 ORACLES: dict[str, str] = {
     "op2_exact_dedup": r"""

@@ -30,6 +30,15 @@ def small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
 
 
+def lowest_of(rows: DataFrame, key: str, value: str, name: str, salts: int = 32) -> DataFrame:
+    """Adds the smallest `value` of each `key`. Both sides meet by (key, salt of the value), so the
+    rows of one key are spread over `salts` groups; a key has a row for each salt it has itself."""
+    salted = rows.withColumn("salt", F.pmod(F.xxhash64(value), F.lit(salts)))
+    least = (salted.groupBy(key).agg(F.min(value).alias(name), F.collect_set("salt").alias("own"))
+             .select(key, name, F.explode("own").alias("salt")))
+    return salted.join(least, [key, "salt"]).drop("salt")
+
+
 def packed(df: DataFrame, *columns: Column) -> DataFrame:
     """The whole row as one column `row` beside the given ones, so that no extra column of the
     input can clash with a name the operator uses."""

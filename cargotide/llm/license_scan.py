@@ -59,7 +59,7 @@ def template_positions(spark: SparkSession, phrases: tuple, templates: tuple, k:
 
 
 def license_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, phrases: tuple = PHRASES,
-                   templates: tuple = TEMPLATES, k: int = 2, reach: int = 3, cover: float = 0.7) -> DataFrame:
+                   templates: tuple = TEMPLATES, k: int = 2, reach: int = 3, cover: float = 0.85) -> DataFrame:
     """Per document: doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score.
 
     A base phrase stands where one diagonal has all its k-grams. A template is found where diagonals

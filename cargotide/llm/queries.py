@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, license_scan, mixing, packing, perplexity
+from . import exact_dedup, jaccard_join, license_scan, mixing, packing, perplexity
 from .common import table
 from .tokenizer_files import byte_bpe
 
@@ -15,6 +15,10 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.duplicate_report(table(spark, sf_dir, "documents"))
 
 
+def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.near_duplicate_report(table(spark, sf_dir, "documents"))
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(table(spark, sf_dir, "documents"))
 
@@ -32,7 +36,7 @@ def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_exact_dedup, op5_mixing, op6_perplexity, op7_packing, op8_license_scan)}
+    f.__name__: f for f in (op2_exact_dedup, op3_jaccard_join, op5_mixing, op6_perplexity, op7_packing, op8_license_scan)}
 
 ORACLES: dict[str, str] = {
     "op2_exact_dedup": r"""

@@ -55,10 +55,11 @@ def lower_ascii(text: Column) -> Column:
 
 
 def as_text(column: pa.Array | pa.ChunkedArray) -> pa.Array:
-    """One array of 64-bit offsets with nulls as empty texts."""
+    """One array of 64-bit offsets that start at 0 (kernels misread slices), nulls as empty texts."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
-    return pc.fill_null(column.cast(pa.large_string()), "")
+    whole = column.take(pa.array(np.arange(len(column)))) if column.offset else column
+    return pc.fill_null(whole.cast(pa.large_string()), "")
 
 
 def by_size(batch: pa.RecordBatch, column: int, most: int) -> Iterator[pa.RecordBatch]:

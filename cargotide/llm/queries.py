@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, jaccard_join, license_scan, mixing, packing, perplexity
+from . import exact_dedup, jaccard_join, license_scan, mixing, packing, perplexity, pii_semicrf, warc_index
 from .common import table
 from .tokenizer_files import byte_bpe
 
@@ -35,10 +35,26 @@ def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.license_report(table(spark, sf_dir, "documents"))
 
 
+def op9_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc_index.round_trip(table(spark, sf_dir, "pages"))
+
+
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii_semicrf.pii_report(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_exact_dedup, op3_jaccard_join, op5_mixing, op6_perplexity, op7_packing, op8_license_scan)}
+    f.__name__: f for f in (op2_exact_dedup, op3_jaccard_join, op5_mixing, op6_perplexity, op7_packing, op8_license_scan,
+                            op9_warc_index, op10_pii)}
 
 ORACLES: dict[str, str] = {
+    "op9_warc_index": r"""
+        WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+        d AS (SELECT page_id, strlen(html) AS payload_bytes, sha1(html) AS payload_digest FROM p),
+        r AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS response FROM d)
+        SELECT page_id, payload_bytes, payload_digest,
+               CASE WHEN payload_bytes >= 1000 AND page_id <> response THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN payload_bytes >= 1000 AND page_id <> response THEN response END AS refers_to FROM r""",
     "op2_exact_dedup": r"""
         WITH t AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS content FROM documents),
         g AS (SELECT *, min(doc_id) OVER (PARTITION BY content) AS keep_id, count(*) OVER (PARTITION BY content) AS group_size FROM t)

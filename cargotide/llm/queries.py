@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, jaccard_join, license_scan, mixing, packing, perplexity, pii_semicrf, warc_index
+from . import exact_dedup, hnsw_dedup, jaccard_join, license_scan, mixing, packing, perplexity, pii_semicrf, warc_index
 from .common import table
 from .tokenizer_files import byte_bpe
 
@@ -19,6 +19,10 @@ def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.near_duplicate_report(table(spark, sf_dir, "documents"))
 
 
+def op4_hnsw_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hnsw_dedup.near_duplicate_report(table(spark, sf_dir, "embeddings"))
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(table(spark, sf_dir, "documents"))
 
@@ -44,7 +48,7 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_exact_dedup, op3_jaccard_join, op5_mixing, op6_perplexity, op7_packing, op8_license_scan,
+    f.__name__: f for f in (op2_exact_dedup, op3_jaccard_join, op4_hnsw_dedup, op5_mixing, op6_perplexity, op7_packing, op8_license_scan,
                             op9_warc_index, op10_pii)}
 
 ORACLES: dict[str, str] = {

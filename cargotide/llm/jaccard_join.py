@@ -15,7 +15,11 @@ Pivots are therefore drawn where distances are below 1:
    becomes the next pivot. A pivot is compared only with members of other components whose sizes and
    whose distances to the earlier pivots allow d <= 0.2 (triangle inequality). The region is done
    when all components but one have been pivots entirely: then no link between components is left.
-4. A region beyond `region_docs` documents is dealt into blocks, and every two blocks meet in a task.
+4. Before the sets travel, a region sees only sketches: how many shingles of a set fall in each of
+   BUCKETS hash buckets. The sum of the smaller counts is no less than the intersection (the sketches'
+   own Jaccard distance is a metric below the sets' distance), so a member without a partner within
+   0.2 by sketches has none and leaves the region.
+5. A region beyond `region_docs` documents is dealt into blocks, and every two blocks meet in a task.
 
 Only spanning links leave a region; equal sets are linked through their set's digest. Components
 of all links are found by Spark.
@@ -29,7 +33,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import as_text, by_size, lowest_of, packed, shingles, small, stored, unpacked, word_hashes, words
+from .common import as_text, by_size, lowest_of, mixed, packed, shingles, small, stored, unpacked, word_hashes, words
 from .components import connected_components
 
 K = 5
@@ -39,6 +43,9 @@ PART, WHOLE = 80, 100
 #: order steers only the work; every order gives the same links.
 SAMPLE_EVERY, OFTEN, MOST_FREQUENT = 32, 3, 100_000
 BATCH_CHARS = 16_000_000
+BUCKETS = 64
+#: Sets beyond this size are never pruned by sketches, whose counts end at 65535.
+SKETCHED = 1_000_000
 
 
 class Order:
@@ -89,24 +96,31 @@ def boundary(keys: np.ndarray) -> np.ndarray:
     return keys[:n + 1 + (-PART * n // WHOLE)]
 
 
+def sketch(keys: np.ndarray) -> bytes:
+    counts = np.bincount((mixed(keys.astype(np.uint64)) % np.uint64(BUCKETS)).astype(np.int64), minlength=BUCKETS)
+    return np.minimum(counts, 65535).astype("<u2").tobytes()
+
+
 def sets_table(docs: DataFrame, order, k: int) -> DataFrame:
-    """doc_id, n, set_key (128-bit digest of the set), boundary (its keys; null for an empty set and
-    for a set that an earlier row of the batch has)."""
+    """doc_id, n, set_key (128-bit digest of the set), boundary (its keys) and sketch; the last two are
+    null for an empty set and for a set that an earlier row of the batch has."""
     import xxhash
 
     def derive(batches):
         for whole in batches:
             for batch in by_size(whole, 1, BATCH_CHARS):
-                n, digest, firsts, known = [], [], [], set()
+                n, digest, firsts, sketches, known = [], [], [], [], set()
                 for keys in shingle_sets(as_text(batch.column(1)), order.value, k):
                     key = xxhash.xxh3_128_digest(keys.tobytes())
                     n.append(len(keys))
                     digest.append(key)
-                    firsts.append(None if key in known or not len(keys) else boundary(keys).tobytes())
+                    new = len(keys) and key not in known
+                    firsts.append(boundary(keys).tobytes() if new else None)
+                    sketches.append(sketch(keys) if new else None)
                     known.add(key)
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(digest, pa.binary()),
-                                                  pa.array(firsts, pa.binary())], ["doc_id", "n", "set_key", "boundary"])
-    return stored(docs.mapInArrow(derive, "doc_id long, n long, set_key binary, boundary binary"), "op3-sets")
+                                                  pa.array(firsts, pa.binary()), pa.array(sketches, pa.binary())], ["doc_id", "n", "set_key", "boundary", "sketch"])
+    return stored(docs.mapInArrow(derive, "doc_id long, n long, set_key binary, boundary binary, sketch binary"), "op3-sets")
 
 
 def region_pairs(sets: DataFrame) -> DataFrame:
@@ -148,6 +162,49 @@ def with_blocks(pairs: DataFrame, region_docs: int) -> DataFrame:
     return rows.select("pivot", F.explode(own).alias("part"), "doc")
 
 
+def with_partner(size: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Which members may link to another one by sizes and sketches."""
+    out = size > SKETCHED
+    for i in range(len(size) - 1):
+        rest = slice(i + 1, None)
+        may = WHOLE * np.minimum(size[rest], size[i]) >= PART * np.maximum(size[rest], size[i])
+        at = np.flatnonzero(may) + i + 1
+        if len(at):
+            bound = np.minimum(counts[at], counts[i]).sum(1)
+            at = at[linked(bound, size[at], int(size[i])) | out[at] | out[i]]
+            out[at] = True
+            out[i] |= len(at) > 0
+    return out
+
+
+def pruned(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """The members of region parts that may have a partner there."""
+    def keep(batches):
+        region, held = None, []
+
+        def close():
+            size = np.array([h[1] for h in held])
+            counts = np.stack([np.frombuffer(h[2], "<u2") for h in held]).astype(np.int32)
+            stay = np.flatnonzero(with_partner(size, counts))
+            return pa.RecordBatch.from_pydict({"pivot": pa.array([region[0]] * len(stay), pa.int64()), "part": pa.array([region[1]] * len(stay), pa.int32()),
+                                               "doc": pa.array([held[k][0] for k in stay], pa.int64())})
+
+        for batch in batches:
+            for pivot, part, *row in zip(*(batch.column(c).to_pylist() for c in range(5))):
+                if (pivot, part) != region:
+                    if len(held) > 1:
+                        yield close()
+                    region, held = (pivot, part), []
+                held.append(row)
+        if len(held) > 1:
+            yield close()
+
+    told = sets.where("sketch IS NOT NULL").select(F.col("doc_id").alias("doc"), "n", "sketch")
+    rows = members.join(told, "doc").select("pivot", "part", "doc", "n", "sketch")
+    dealt = rows.repartition("pivot", "part").sortWithinPartitions("pivot", "part", "doc")
+    return stored(dealt.mapInArrow(keep, "pivot long, part int, doc long"), "op3-members")
+
+
 def linked(inter: np.ndarray, a: np.ndarray, b: int) -> np.ndarray:
     return WHOLE * inter >= PART * (a + b - inter)
 
@@ -251,7 +308,7 @@ def near_duplicate_report(docs: DataFrame, id_col: str = "doc_id", text_col: str
     order = docs.sparkSession.sparkContext.broadcast(Order(frequent_shingles(slim, k)))
     sets = sets_table(slim, order, k)
     members = with_blocks(region_pairs(sets), region_docs)
-    near = stored(links_of_regions(slim, members, order, k), "op3-links")
+    near = stored(links_of_regions(slim, pruned(members, sets), order, k), "op3-links")
     nodes = sets.where("n > 0 AND doc_id IS NOT NULL").select("doc_id", "set_key")
     same = lowest_of(nodes, "set_key", "doc_id", "keep").where("keep <> doc_id").select(F.col("doc_id").alias("a"), F.col("keep").alias("b"))
     components = stored(connected_components(near.unionByName(same), "a", "b"), "op3-components")

@@ -15,8 +15,8 @@ Pivots are therefore drawn where distances are below 1:
    becomes the next pivot. A pivot is compared only with members of other components whose sizes and
    whose distances to the earlier pivots allow d <= 0.2 (triangle inequality). The region is done
    when all components but one have been pivots entirely: then no link between components is left.
-4. Before the sets travel, a region sees only sketches: how many shingles of a set fall in each of
-   BUCKETS hash buckets. The sum of the smaller counts is no less than the intersection (the sketches'
+4. Before the sets travel, a region sees only sketches: how many shingles of a set fall in each
+   hash bucket. The sum of the smaller counts is no less than the intersection (the sketches'
    own Jaccard distance is a metric below the sets' distance), so a member without a partner within
    0.2 by sketches has none and leaves the region.
 5. A region beyond `region_docs` documents is dealt into blocks, and every two blocks meet in a task.
@@ -43,9 +43,8 @@ PART, WHOLE = 80, 100
 #: order steers only the work; every order gives the same links.
 SAMPLE_EVERY, OFTEN, MOST_FREQUENT = 32, 3, 100_000
 BATCH_CHARS = 16_000_000
-BUCKETS = 64
-#: Sets beyond this size are never pruned by sketches, whose counts end at 65535.
-SKETCHED = 1_000_000
+#: Buckets of a sketch, by the size of its set. A sketch with a count of 255 or more is never pruned.
+LEAST_BUCKETS, MOST_BUCKETS = 64, 8192
 
 
 class Order:
@@ -96,9 +95,15 @@ def boundary(keys: np.ndarray) -> np.ndarray:
     return keys[:n + 1 + (-PART * n // WHOLE)]
 
 
+def buckets_for(n: int) -> int:
+    """Two to four shingles in a bucket on average, so that unrelated sets differ clearly."""
+    return min(max(LEAST_BUCKETS, 1 << max((n - 1) // 4, 0).bit_length()), MOST_BUCKETS)
+
+
 def sketch(keys: np.ndarray) -> bytes:
-    counts = np.bincount((mixed(keys.astype(np.uint64)) % np.uint64(BUCKETS)).astype(np.int64), minlength=BUCKETS)
-    return np.minimum(counts, 65535).astype("<u2").tobytes()
+    many = buckets_for(len(keys))
+    counts = np.bincount((mixed(keys.astype(np.uint64)) % np.uint64(many)).astype(np.int64), minlength=many)
+    return np.minimum(counts, 255).astype(np.uint8).tobytes()
 
 
 def sets_table(docs: DataFrame, order, k: int) -> DataFrame:
@@ -162,19 +167,27 @@ def with_blocks(pairs: DataFrame, region_docs: int) -> DataFrame:
     return rows.select("pivot", F.explode(own).alias("part"), "doc")
 
 
-def with_partner(size: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """Which members may link to another one by sizes and sketches."""
-    out = size > SKETCHED
-    for i in range(len(size) - 1):
-        rest = slice(i + 1, None)
-        may = WHOLE * np.minimum(size[rest], size[i]) >= PART * np.maximum(size[rest], size[i])
-        at = np.flatnonzero(may) + i + 1
-        if len(at):
-            bound = np.minimum(counts[at], counts[i]).sum(1)
-            at = at[linked(bound, size[at], int(size[i])) | out[at] | out[i]]
-            out[at] = True
-            out[i] |= len(at) > 0
-    return out
+def with_partner(sketches: list[np.ndarray], size: np.ndarray) -> np.ndarray:
+    """Which members may link to another one by sizes and sketches. Sizes that link differ by a quarter
+    at most, so numbers of buckets differ by one doubling; the finer sketch is then folded."""
+    order = np.argsort(size, kind="stable")
+    size, own = size[order], [sketches[k] for k in order]
+    width = np.array([len(c) for c in own])
+    out = np.array([c.max() == 255 for c in own])
+    top = np.searchsorted(WHOLE * size, WHOLE * WHOLE * size // PART, side="right")  # sizes up to size / 0.8
+    for w in np.unique(width):
+        at = np.flatnonzero((width == w) | (width == 2 * w))
+        counts = np.stack([own[k] if width[k] == w else np.minimum(own[k].reshape(2, w).astype(np.int64).sum(0), 255) for k in at]).astype(np.int16)
+        for i in np.flatnonzero(width[at] == w):
+            last = np.searchsorted(at, top[at[i]])
+            if last > i + 1:
+                bound = np.minimum(counts[i + 1:last], counts[i]).sum(1, dtype=np.int64)
+                may = at[i + 1:last][linked(bound, size[at[i + 1:last]], int(size[at[i]])) | out[at[i + 1:last]] | out[at[i]]]
+                out[may] = True
+                out[at[i]] |= len(may) > 0
+    back = np.zeros(len(out), bool)
+    back[order] = out
+    return back
 
 
 def pruned(members: DataFrame, sets: DataFrame) -> DataFrame:
@@ -184,8 +197,7 @@ def pruned(members: DataFrame, sets: DataFrame) -> DataFrame:
 
         def close():
             size = np.array([h[1] for h in held])
-            counts = np.stack([np.frombuffer(h[2], "<u2") for h in held]).astype(np.int32)
-            stay = np.flatnonzero(with_partner(size, counts))
+            stay = np.flatnonzero(with_partner([np.frombuffer(h[2], np.uint8) for h in held], size))
             return pa.RecordBatch.from_pydict({"pivot": pa.array([region[0]] * len(stay), pa.int64()), "part": pa.array([region[1]] * len(stay), pa.int32()),
                                                "doc": pa.array([held[k][0] for k in stay], pa.int64())})
 

@@ -19,7 +19,9 @@ Pivots are therefore drawn where distances are below 1:
    hash bucket. The sum of the smaller counts is no less than the intersection (the sketches'
    own Jaccard distance is a metric below the sets' distance), so a member without a partner within
    0.2 by sketches has none and leaves the region.
-5. A region beyond `region_docs` documents is dealt into blocks, and every two blocks meet in a task.
+5. Each document is first joined in its home, the region of its smallest pivot. Its copies in other
+   regions follow only where they may still link two components that homes have not compared.
+6. A region beyond `region_docs` documents is dealt into blocks, and every two blocks meet in a task.
 
 Only spanning links leave a region; equal sets are linked through their set's digest. Components
 of all links are found by Spark.
@@ -167,13 +169,15 @@ def with_blocks(pairs: DataFrame, region_docs: int) -> DataFrame:
     return rows.select("pivot", F.explode(own).alias("part"), "doc")
 
 
-def with_partner(sketches: list[np.ndarray], size: np.ndarray) -> np.ndarray:
-    """Which members may link to another one by sizes and sketches. Sizes that link differ by a quarter
+def with_partner(sketches: list[np.ndarray], size: np.ndarray, settled: np.ndarray | None = None) -> np.ndarray:
+    """Which members may link to another one by sizes and sketches, and are not settled with it: two
+    members that agree in a row of `settled` need no comparison. Sizes that link differ by a quarter
     at most, so numbers of buckets differ by one doubling; the finer sketch is then folded."""
     order = np.argsort(size, kind="stable")
     size, own = size[order], [sketches[k] for k in order]
     width = np.array([len(c) for c in own])
-    out = np.array([c.max() == 255 for c in own])
+    full, out = np.array([c.max() == 255 for c in own]), np.zeros(len(own), bool)
+    settled = settled[:, order] if settled is not None else None
     top = np.searchsorted(WHOLE * size, WHOLE * WHOLE * size // PART, side="right")  # sizes up to size / 0.8
     for w in np.unique(width):
         at = np.flatnonzero((width == w) | (width == 2 * w))
@@ -182,27 +186,33 @@ def with_partner(sketches: list[np.ndarray], size: np.ndarray) -> np.ndarray:
             last = np.searchsorted(at, top[at[i]])
             if last > i + 1:
                 bound = np.minimum(counts[i + 1:last], counts[i]).sum(1, dtype=np.int64)
-                may = at[i + 1:last][linked(bound, size[at[i + 1:last]], int(size[at[i]])) | out[at[i + 1:last]] | out[at[i]]]
-                out[may] = True
-                out[at[i]] |= len(may) > 0
+                rest = at[i + 1:last]
+                may = linked(bound, size[rest], int(size[at[i]])) | full[rest] | full[at[i]]
+                if settled is not None:
+                    may &= (settled[:, rest] != settled[:, at[i]][:, None]).all(0)
+                out[rest[may]] = True
+                out[at[i]] |= may.any()
     back = np.zeros(len(out), bool)
     back[order] = out
     return back
 
 
 def pruned(members: DataFrame, sets: DataFrame) -> DataFrame:
-    """The members of region parts that may have a partner there."""
+    """The members of region parts that may have a partner there. `members` may carry component and
+    home: members that agree in either are settled with each other."""
+    marks = [c for c in ("component", "home") if c in members.columns]
+
     def keep(batches):
         region, held = None, []
 
         def close():
-            size = np.array([h[1] for h in held])
-            stay = np.flatnonzero(with_partner([np.frombuffer(h[2], np.uint8) for h in held], size))
+            settled = np.array([h[3:] for h in held]).T if marks else None
+            stay = np.flatnonzero(with_partner([np.frombuffer(h[2], np.uint8) for h in held], np.array([h[1] for h in held]), settled))
             return pa.RecordBatch.from_pydict({"pivot": pa.array([region[0]] * len(stay), pa.int64()), "part": pa.array([region[1]] * len(stay), pa.int32()),
                                                "doc": pa.array([held[k][0] for k in stay], pa.int64())})
 
         for batch in batches:
-            for pivot, part, *row in zip(*(batch.column(c).to_pylist() for c in range(5))):
+            for pivot, part, *row in zip(*(column.to_pylist() for column in batch.columns)):
                 if (pivot, part) != region:
                     if len(held) > 1:
                         yield close()
@@ -212,7 +222,7 @@ def pruned(members: DataFrame, sets: DataFrame) -> DataFrame:
             yield close()
 
     told = sets.where("sketch IS NOT NULL").select(F.col("doc_id").alias("doc"), "n", "sketch")
-    rows = members.join(told, "doc").select("pivot", "part", "doc", "n", "sketch")
+    rows = members.join(told, "doc").select("pivot", "part", "doc", "n", "sketch", *marks)
     dealt = rows.repartition("pivot", "part").sortWithinPartitions("pivot", "part", "doc")
     return stored(dealt.mapInArrow(keep, "pivot long, part int, doc long"), "op3-members")
 
@@ -272,7 +282,7 @@ def region_links(ids: np.ndarray, sets: list[np.ndarray]) -> list[tuple[int, int
 
 def links_of_regions(docs: DataFrame, members: DataFrame, order, k: int) -> DataFrame:
     """(a, b): spanning links of every region part."""
-    per_doc = members.groupBy("doc").agg(F.collect_list(F.struct("pivot", "part")).alias("regions"))
+    per_doc = small(stored(members.groupBy("doc").agg(F.collect_list(F.struct("pivot", "part")).alias("regions")), "op3-regions"))
     held = docs.join(per_doc, F.col("doc_id") == F.col("doc")).select("doc", "text", F.col("regions.pivot").alias("pivots"), F.col("regions.part").alias("parts"))
 
     def derive(batches):
@@ -319,11 +329,17 @@ def near_duplicate_report(docs: DataFrame, id_col: str = "doc_id", text_col: str
     slim = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
     order = docs.sparkSession.sparkContext.broadcast(Order(frequent_shingles(slim, k)))
     sets = sets_table(slim, order, k)
-    members = with_blocks(region_pairs(sets), region_docs)
-    near = stored(links_of_regions(slim, pruned(members, sets), order, k), "op3-links")
+    members = pruned(with_blocks(region_pairs(sets), region_docs), sets)
+    members = stored(members.join(members.groupBy("doc").agg(F.min("pivot").alias("home")), "doc"), "op3-homes")
+    near = stored(links_of_regions(slim, members.where("pivot = home"), order, k), "op3-links")
     nodes = sets.where("n > 0 AND doc_id IS NOT NULL").select("doc_id", "set_key")
     same = lowest_of(nodes, "set_key", "doc_id", "keep").where("keep <> doc_id").select(F.col("doc_id").alias("a"), F.col("keep").alias("b"))
     components = stored(connected_components(near.unionByName(same), "a", "b"), "op3-components")
+    found = components.withColumnRenamed("node", "doc")
+    rest = members.join(found, "doc", "left").withColumn("component", F.coalesce("component", "doc"))
+    more = stored(links_of_regions(slim, pruned(rest, sets), order, k), "op3-links")
+    known = components.select(F.col("node").alias("a"), F.col("component").alias("b"))
+    components = stored(connected_components(known.unionByName(more), "a", "b"), "op3-components")
     out = sets.select("doc_id", "n").join(components.withColumnRenamed("node", "doc_id"), "doc_id", "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))
 

@@ -6,11 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, hnsw_dedup, jaccard_join, license_scan, mixing, packing, perplexity, pii_semicrf, warc_index
+from . import exact_dedup, hnsw_dedup, jaccard_join, license_scan, mixing, packing, perplexity, pii_semicrf, substring_dedup, warc_index
 from .common import table
 from .tokenizer_files import byte_bpe
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.passages(table(spark, sf_dir, "documents"))
+
+
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.duplicate_report(table(spark, sf_dir, "documents"))
 
@@ -48,7 +52,7 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_exact_dedup, op3_jaccard_join, op4_hnsw_dedup, op5_mixing, op6_perplexity, op7_packing, op8_license_scan,
+    f.__name__: f for f in (op1_substring_dedup, op2_exact_dedup, op3_jaccard_join, op4_hnsw_dedup, op5_mixing, op6_perplexity, op7_packing, op8_license_scan,
                             op9_warc_index, op10_pii)}
 
 ORACLES: dict[str, str] = {

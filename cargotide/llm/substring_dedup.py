@@ -223,8 +223,8 @@ def passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *,
     own = found.groupBy("doc").agg(F.collect_list(F.struct("to", "s", "e", "ts", "te")).alias("spans"), F.lit(None).cast("array<int>").alias("salts"))
     kept = found.groupBy("to").agg(F.collect_set(salt).alias("salts")).select(F.col("to").alias("doc"), F.lit(None).cast(own.schema["spans"].dataType).alias("spans"), "salts")
     needs = own.unionByName(kept)
-    held = slim.join(needs, F.col("doc_id") == F.col("doc")).select("doc_id", "text", F.transform("spans", lambda x: x["to"]).alias("to"), *[
-        F.transform("spans", lambda x, c=c: x[c]).alias(c) for c in ("s", "e", "ts", "te")], "salts")
+    held = slim.join(needs, F.col("doc_id") == F.col("doc")).select(
+        "doc_id", "text", *[F.col(f"spans.{c}").alias(c) for c in ("to", "s", "e", "ts", "te")], "salts")
 
     def derive(batches):
         for whole in batches:

@@ -187,22 +187,25 @@ def candidate_passages(links: DataFrame, least: int, votes: int) -> DataFrame:
     return links.repartition("doc", "to").sortWithinPartitions("doc", "to").mapInArrow(join, "doc long, to long, s int, e int, ts int, te int")
 
 
-def verified(own: np.ndarray, other: np.ndarray, least: int) -> list[tuple[int, int, int, int, float]]:
-    """Matching passages of two shingle sequences: (start, end, start there, end there, similarity)."""
+def verified(own: np.ndarray, other: np.ndarray, least: int, gap: int = DRIFT) -> list[tuple[int, int, int, int, float]]:
+    """Matching passages of two shingle sequences: (start, end, start there, end there, similarity).
+    Runs of matches with gaps up to `gap`; a run that is not similar enough as a whole is tried in
+    shorter runs, down to those without a gap."""
     out = []
     seen = np.flatnonzero(np.isin(own, other))
-    if not len(seen):
-        return out
-    for run in np.split(seen, np.flatnonzero(np.diff(seen) > DRIFT) + 1):
+    for run in np.split(seen, np.flatnonzero(np.diff(seen) > gap) + 1):
+        if len(run) == 0 or run[-1] - run[0] + 1 < least:
+            continue
         a, b = int(run[0]), int(run[-1])
         there = np.flatnonzero(np.isin(other, own[a:b + 1]))
-        runs = np.split(there, np.flatnonzero(np.diff(there) > DRIFT) + 1)
-        best = max(runs, key=len)
+        best = max(np.split(there, np.flatnonzero(np.diff(there) > gap) + 1), key=len)
         x, y = np.unique(own[a:b + 1]), np.unique(other[best[0]:best[-1] + 1])
         same = len(np.intersect1d(x, y, assume_unique=True))
         union = len(x) + len(y) - same
-        if min(b - a, int(best[-1] - best[0])) + 1 >= least and WHOLE * same >= PART * union:
+        if int(best[-1] - best[0]) + 1 >= least and WHOLE * same >= PART * union:
             out.append((a, b, int(best[0]), int(best[-1]), same / union))
+        elif gap > 1:
+            out += [(a + i, a + j, u, v, z) for i, j, u, v, z in verified(own[a:b + 1], other, least, gap // 3)]
     return out
 
 

@@ -26,7 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import as_text
+from .common import as_text, stored
 
 KINDS = ("email", "ip", "card", "phone")
 #: The base patterns.
@@ -252,8 +252,11 @@ def report_of(text: str, field: Field) -> tuple[list[int], str, str]:
 def train(docs: DataFrame, text_col: str = "text", train_rows: int = 2000) -> Field:
     """Fits on at most `train_rows` documents with a candidate, those with the smallest hashes."""
     text = F.col(f"`{text_col}`")
-    picked = docs.select(text.alias("text")).where(text.rlike(r"[0-9]{3}|@|[=:]\S")).withColumn("h", F.xxhash64("text"))
-    return fit([r["text"] for r in picked.orderBy("h", "text").limit(train_rows).collect()])
+    likely = docs.select(text.alias("text")).where(text.rlike(r"[0-9]{3}|@|[=:]\S")).withColumn("h", F.xxhash64("text"))
+    # hashes are picked first, so that only the sample's texts reach the driver
+    least = likely.select("h").distinct().orderBy("h").limit(train_rows)
+    picked = likely.join(F.broadcast(stored(least, "op10-sample")), "h").dropDuplicates(["h"])
+    return fit(sorted(r["text"] for r in picked.collect()))
 
 
 def pii_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, field: Field | None = None,

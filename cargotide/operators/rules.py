@@ -83,21 +83,25 @@ def pre_holiday_multiplier(df: DataFrame, calendar: DataFrame, value: str = P, d
 
 @dataclass(frozen=True)
 class DayOverride:
-    """`base + predicted * multiplier` for one brand on some days of the month."""
+    """`base + predicted * multiplier` for one brand on some days of the month, in one category
+    or, with None, in all."""
 
     brand: str
     days: tuple[int, ...] = (22, 23)
     base: float = 0.0
     multiplier: float = 2.0
+    category: str | None = None
 
 
 def day_overrides(df: DataFrame, rules: Sequence[DayOverride], value: str = P, date: str = "date",
-                  brand: str = BRAND) -> DataFrame:
+                  brand: str = BRAND, category: str = CATEGORY) -> DataFrame:
     """F13. Rules apply one after the other, in list order."""
     name = F.upper(F.trim(F.col(brand)))
     result = F.col(value)
     for rule in rules:
         hit = (name == rule.brand.strip().upper()) & F.dayofmonth(date).isin(*rule.days)
+        if rule.category is not None:
+            hit &= F.upper(F.trim(F.col(category))) == rule.category.strip().upper()
         result = F.when(hit, F.lit(rule.base) + result * F.lit(rule.multiplier)).otherwise(result)
     return df.withColumn(value, result)
 

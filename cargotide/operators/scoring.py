@@ -133,7 +133,7 @@ def segmented_metrics(df: DataFrame, q: float = 0.8, date: str = "date") -> Data
             mae(spike).alias("spike_mae"), rmse(spike).alias("spike_rmse"),
             mae(~spike).alias("non_spike_mae"), rmse(~spike).alias("non_spike_rmse"),
             over.alias("over_pred_count"), under.alias("under_pred_count"),
-            (over / total * 100).alias("over_pred_pct"), (under / total * 100).alias("under_pred_pct")]
+            (F.try_divide(over, total) * 100).alias("over_pred_pct"), (F.try_divide(under, total) * 100).alias("under_pred_pct")]
     for name, days in (("monday", [0]), ("wednesday", [2]), ("friday", [4]), ("high_volume_days", [0, 2, 4])):
         on = dow.isin(*days)
         aggs += [mae(on).alias(f"{name}_mae"), rmse(on).alias(f"{name}_rmse"),
@@ -268,7 +268,7 @@ def actuals_profile(df: DataFrame, date: str = "date") -> DataFrame:
         F.stddev_samp(_act()).alias("std"), F.count(F.when(zero, 1)).alias("zeros"),
         F.count(F.when(_act() < 50, 1)).alias("below_50"), F.count(F.when(_act() < 100, 1)).alias("below_100"),
         (F.avg(_pred()) - F.avg(_act())).alias("bias"),
-        (F.sum(F.when(zero, F.abs(_err())).otherwise(0.0)) / F.sum(F.abs(_err())) * 100).alias("zero_day_error_pct"))
+        (F.try_divide(F.sum(F.when(zero, F.abs(_err())).otherwise(0.0)), F.sum(F.abs(_err()))) * 100).alias("zero_day_error_pct"))
     pick = F.lit(None).cast("double")
     for name, value in median.items():
         pick = F.when(F.col("part") == name, value).otherwise(pick)
@@ -280,8 +280,8 @@ VALUE_RANGES = ((0, 100), (100, 300), (300, 500), (500, 700), (700, 2000))
 
 
 def mape_by_range(df: DataFrame, ranges: Sequence[tuple[float, float]] = VALUE_RANGES) -> DataFrame:
-    """E15."""
-    name = F.lit(None).cast("string")
+    """E15. Actuals below the first range or from the end of the last one on have a row of their own."""
+    name = F.when(_act() < ranges[0][0], F.lit(f"below {ranges[0][0]}")).when(_act() >= ranges[-1][1], F.lit(f"{ranges[-1][1]}+"))
     for lo, hi in ranges:
         name = F.when((_act() >= lo) & (_act() < hi), F.lit(f"{lo}-{hi}")).otherwise(name)
     return (df.withColumn("range", name).filter(F.col("range").isNotNull()).groupBy("range")
@@ -307,7 +307,7 @@ def compare_runs(scores: DataFrame, current: str, run: str = "run_id", mode: str
         return F.max(F.when(is_current, F.col(c)))
 
     def gain(c: str) -> Column:
-        return (F.col(f"best_{c}") - F.col(f"current_{c}")) / F.col(f"best_{c}") * 100
+        return F.try_divide(F.col(f"best_{c}") - F.col(f"current_{c}"), F.col(f"best_{c}")) * 100
 
     row = tf.agg(best(run).alias("best_run"), *[best(c).alias(f"best_{c}") for c in ("mae", "rmse")],
                  *[mine(c).alias(f"current_{c}") for c in ("mae", "rmse")])

@@ -26,7 +26,8 @@ def feature_target_correlations(df: DataFrame, features: Sequence[str], target:
     for f in features:
         c = as_column(f).cast("double")
         constant = F.min(c).eqNullSafe(F.max(c))
-        pearson = F.try_divide(F.covar_pop(c, t), F.stddev_pop(c) * F.stddev_pop(t))
+        x, y = F.when(t.isNotNull(), c), F.when(c.isNotNull(), t)  # moments over the same pairs
+        pearson = F.try_divide(F.covar_pop(c, t), F.stddev_pop(x) * F.stddev_pop(y))
         aggs.append(F.when(constant, F.lit(0.0)).otherwise(pearson).alias(f"{f}|r"))
     return _to_rows(df.agg(*aggs), features, ["r"], "feature")
 

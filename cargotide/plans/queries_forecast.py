@@ -122,14 +122,15 @@ def f12(spark: SparkSession, d: str) -> DataFrame:
 
 
 DAY_RULES = (B.DayOverride("brand#3", (22, 23), 0.5, 2.0), B.DayOverride(" Brand#3 ", (23,), 0.0, 1.5),
-             B.DayOverride("BRAND#11", (1, 15), 0.25, 1.0))
+             B.DayOverride("BRAND#11", (1, 15), 0.25, 1.0), B.DayOverride("BRAND#12", (2, 3), 1.0, 2.0, category="dry"))
 
 
 @query("F13_day_overrides", sql(f"""
     SELECT CATEGORY, BRAND, {i('day(date)')} AS day, {rs('''sum(CASE
         WHEN BRAND = 'Brand#3' AND day(date) = 22 THEN 5e-1 + predicted * 2
         WHEN BRAND = 'Brand#3' AND day(date) = 23 THEN (5e-1 + predicted * 2) * 15e-1
-        WHEN BRAND = 'Brand#11' AND day(date) IN (1, 15) THEN 25e-2 + predicted ELSE predicted END)''')} AS predicted
+        WHEN BRAND = 'Brand#11' AND day(date) IN (1, 15) THEN 25e-2 + predicted
+        WHEN BRAND = 'Brand#12' AND day(date) IN (2, 3) AND CATEGORY = 'DRY' THEN 1 + predicted * 2 ELSE predicted END)''')} AS predicted
     FROM x GROUP BY ALL""", "fcb", extra={"x": RFB}))
 def f13(spark: SparkSession, d: str) -> DataFrame:
     out = B.day_overrides(rule_frame(spark, d, (CATEGORY, BRAND)), DAY_RULES)
@@ -156,7 +157,8 @@ def f14_category(spark: SparkSession, d: str) -> DataFrame:
         "s2": f"SELECT s1.* EXCLUDE (predicted), predicted * {EVENT_FACTOR} AS predicted FROM s1 JOIN h ON h.day = s1.date",
         "s3": """SELECT * EXCLUDE (predicted), CASE WHEN BRAND = 'Brand#3' AND day(date) = 22 THEN 5e-1 + predicted * 2
             WHEN BRAND = 'Brand#3' AND day(date) = 23 THEN (5e-1 + predicted * 2) * 15e-1
-            WHEN BRAND = 'Brand#11' AND day(date) IN (1, 15) THEN 25e-2 + predicted ELSE predicted END AS predicted FROM s2"""}))
+            WHEN BRAND = 'Brand#11' AND day(date) IN (1, 15) THEN 25e-2 + predicted
+        WHEN BRAND = 'Brand#12' AND day(date) IN (2, 3) AND CATEGORY = 'DRY' THEN 1 + predicted * 2 ELSE predicted END AS predicted FROM s2"""}))
 def f14_brand(spark: SparkSession, d: str) -> DataFrame:
     out = B.postprocess_brand(rule_frame(spark, d, (CATEGORY, BRAND)), S.calendar(spark), DAY_RULES)
     return out.groupBy(CATEGORY, BRAND, F.year("date").alias("year"), F.month("date").alias("month")).agg(

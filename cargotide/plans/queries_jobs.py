@@ -48,7 +48,7 @@ def feature_frame(spark: SparkSession, d: str) -> DataFrame:
     """All features of all series; one row per category and month of the whole frame."""
     out = J.feature_frame(S.dense(spark, d, measures=(QTY, CBM)), S.calendar(spark), S.ANCHORS)
     numeric = [c for c, t in out.dtypes if t in ("double", "int") and c not in (QTY, CBM)]
-    return out.groupBy(CATEGORY, F.trunc(DATE, "MM").alias("month")).agg(
+    return out.groupBy(CATEGORY, F.trunc(DATE, "MM").alias("month_start")).agg(
         F.count("*").alias("days"), *[F.avg(F.col(c)).alias(c) for c in numeric])
 
 

@@ -213,7 +213,7 @@ def e14(spark: SparkSession, d: str) -> DataFrame:
 @query("E15_mape_by_range", sql(f"""
     SELECT range, count(*) AS samples, {rs(f'avg(abs{E_} / (actual + 1e-8)) * 100', 2)} AS mape FROM (SELECT *, CASE WHEN actual >= 0 AND actual < 100 THEN '0-100'
       WHEN actual >= 100 AND actual < 300 THEN '100-300' WHEN actual >= 300 AND actual < 500 THEN '300-500' WHEN actual >= 500 AND actual < 700 THEN '500-700'
-      WHEN actual >= 700 AND actual < 2000 THEN '700-2000' END AS range FROM x) WHERE range IS NOT NULL GROUP BY ALL""", "fc", extra={"x": SCALED}))
+      WHEN actual >= 700 AND actual < 2000 THEN '700-2000' WHEN actual >= 2000 THEN '2000+' WHEN actual < 0 THEN 'below 0' END AS range FROM x) WHERE range IS NOT NULL GROUP BY ALL""", "fc", extra={"x": SCALED}))
 def e15(spark: SparkSession, d: str) -> DataFrame:
     """Zero days belong to the first range and dominate it: their ratio divides by 1e-8."""
     return rounded(Sc.mape_by_range(scaled_frame(spark, d)), "mape", digits=2)

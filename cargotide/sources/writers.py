@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -12,7 +13,8 @@ from ..operators.panel import with_business_year, with_labels
 
 
 def _write(df: DataFrame, path: str, fmt: str, partition_by: Sequence[str], mode: str) -> None:
-    writer = df.write.mode(mode).partitionBy(*partition_by)
+    # an overwrite replaces the folders it has rows for and leaves the others
+    writer = df.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by)
     if fmt == "csv":
         writer.option("header", True).csv(path)
     else:
@@ -46,11 +48,11 @@ def combined_forecasts(spark: SparkSession, path: str, fmt: str = "parquet", dat
 
 def upsert_table(spark: SparkSession, path: str, new: DataFrame, keys: Sequence[str],
                  required: str | None = None, fmt: str = "parquet", into: str | None = None) -> str:
-    """S10. Merge a table with new rows into a new version folder and return its path; the old
-    version stays readable until the caller switches over."""
+    """S10. Merge a table with new rows into a new version folder and return its path, from which
+    the next merge starts; no version is ever overwritten."""
     existing = spark.read.format(fmt).load(path)
-    target = into or f"{path.rstrip('/')}-next"
-    upsert(existing, new, keys, required).write.mode("overwrite").format(fmt).save(target)
+    target = into or f"{path.rstrip('/')}-{uuid.uuid4().hex}"
+    upsert(existing, new, keys, required).write.mode("errorifexists").format(fmt).save(target)
     return target
 
 

@@ -34,7 +34,7 @@ BLANKS = r"\t\n\v\f\r\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\
 #: A blank beside another kind of blank or at an end of the text.
 ODD_BLANKS = rf"[ ][ {BLANKS}]|[{BLANKS}][ ]|^[ ]|[ ]$"
 #: Characters of texts that are encoded together.
-BATCH_CHARS = 24_000_000
+BATCH_CHARS = 6_000_000
 
 
 class Encoder:

@@ -95,16 +95,24 @@ def slug(value: str | Column) -> Column:
     return F.translate(as_column(value), " /", "__")
 
 
-# Accepted date layouts, day before month.
-DAY_FIRST_FORMATS = ("dd/MM/yyyy", "dd/MM/yyyy HH:mm:ss", "dd-MM-yyyy",
-                     "yyyy-MM-dd", "yyyy-MM-dd HH:mm:ss", "yyyy/MM/dd")
-MONTH_FIRST_FORMATS = ("MM/dd/yyyy", "MM/dd/yyyy HH:mm:ss", "MM-dd-yyyy",
-                       "yyyy-MM-dd", "yyyy-MM-dd HH:mm:ss", "yyyy/MM/dd")
+# Accepted date layouts (after `-` became `/` and `T` a blank) and the optional time of day.
+YEAR_FIRST, DAY_FIRST, MONTH_FIRST = "yyyy/M/d", "d/M/yyyy", "M/d/yyyy"
+TIME_OF_DAY = "[ H:m[:s][.SSSSSS]]"
+
+
+def parse_mixed_timestamp(value: str | Column, dayfirst: bool = True) -> Column:
+    """S6. Wall-clock time of a text: year first, else day before month (or the other way round), the
+    other order where that cannot be; one or two digits, `-` or `/`, blank or `T`, time of day and
+    fraction optional. Nothing fits gives null."""
+    text = F.translate(F.trim(as_column(value)), "-T", "/ ")
+    order = (DAY_FIRST, MONTH_FIRST) if dayfirst else (MONTH_FIRST, DAY_FIRST)
+    return F.coalesce(*[F.try_to_timestamp(text, F.lit(f + TIME_OF_DAY)) for f in (YEAR_FIRST, *order)]).cast("timestamp_ntz")
 
 
 def parse_mixed_date(value: str | Column, dayfirst: bool = True,
                      formats: Sequence[str] | None = None) -> Column:
-    """S6. The first layout that fits wins; nothing fits gives null."""
-    layouts = formats or (DAY_FIRST_FORMATS if dayfirst else MONTH_FIRST_FORMATS)
+    """S6. The day of `parse_mixed_timestamp`, or of the first of the given layouts that fits."""
+    if formats is None:
+        return F.to_date(parse_mixed_timestamp(value, dayfirst))
     text = F.trim(as_column(value))
-    return F.coalesce(*[F.to_date(F.try_to_timestamp(text, F.lit(f))) for f in layouts])
+    return F.coalesce(*[F.to_date(F.try_to_timestamp(text, F.lit(f))) for f in formats])

@@ -201,12 +201,10 @@ def w15(spark: SparkSession, d: str) -> DataFrame:
     SELECT CATEGORY, BRAND, ACTUALSHIPDATE, {rs(V)} AS cbm, 0 AS pad FROM h
     UNION ALL SELECT CATEGORY, BRAND, ACTUALSHIPDATE, {rs(V)}, {i('k')} FROM (
       SELECT *, row_number() OVER (PARTITION BY CATEGORY, BRAND ORDER BY ACTUALSHIPDATE DESC) AS r, count(*) OVER (PARTITION BY CATEGORY, BRAND) AS n FROM h) h2,
-      (SELECT unnest(range(1, 200)) AS k) WHERE r = 1 AND k <= 200 - n""", "brand_daily",
-    extra={"h": f"SELECT * FROM brand_daily WHERE year(ACTUALSHIPDATE) = 2000"}))
+      (SELECT unnest(range(1, 1200)) AS k) WHERE r = 1 AND k <= 1200 - n""", "brand_daily", extra={"h": "SELECT * FROM brand_daily"}))
 def w16(spark: SparkSession, d: str) -> DataFrame:
-    """Series of the year 2000 filled up to 200 rows."""
-    rows = S.daily(spark, d, (CATEGORY, BRAND)).filter(F.year(DATE) == 2000)
-    out = O.pad_short_history(rows, 200, [CATEGORY, BRAND])
+    """Every series, filled up to 1200 rows."""
+    out = O.pad_short_history(S.daily(spark, d, (CATEGORY, BRAND)), 1200, [CATEGORY, BRAND])
     return out.select(CATEGORY, BRAND, DATE, r(CBM).alias("cbm"), "pad")
 
 
@@ -235,12 +233,12 @@ def j4(spark: SparkSession, d: str) -> DataFrame:
 
 # ---------------------------------------------------------------- same lunar date
 
-def lunar_match(source: str, n: int) -> str:
+def lunar_match(source: str, n: int, history: str | None = None) -> str:
     """Row-by-row rule in SQL: the date with the same lunar position in year - n, else the
     first offset of -1, +1, -2, +2, -3, +3 that has a row."""
     return f"""SELECT a.ACTUALSHIPDATE AS d, a.CATEGORY AS c, t.day AS aligned, min_by(h.ACTUALSHIPDATE, o.k) AS matched, min_by(h.{V}, o.k) AS v
         FROM {source} a JOIN cyc t ON t.y = year(a.ACTUALSHIPDATE) - {n} AND t.p = {pos('a.ACTUALSHIPDATE')}
-        CROSS JOIN offs o LEFT JOIN {source} h ON h.CATEGORY = a.CATEGORY AND h.ACTUALSHIPDATE = t.day + o.o
+        CROSS JOIN offs o LEFT JOIN {history or source} h ON h.CATEGORY = a.CATEGORY AND h.ACTUALSHIPDATE = t.day + o.o
         WHERE h.ACTUALSHIPDATE IS NOT NULL OR o.k = 99 GROUP BY ALL"""
 
 
@@ -253,11 +251,11 @@ SPARSE = "SELECT * FROM daily WHERE CATEGORY <> 'MOONCAKE' OR day(ACTUALSHIPDATE
 @query("J6_lunar_yoy_volume", sql(f"""
     SELECT a.ACTUALSHIPDATE, a.CATEGORY, {rs(f'a.{V}')} AS cbm, {rs('coalesce(m1.v, 0e0)')} AS cbm_last_year,
       {rs('coalesce(m2.v, 0e0)')} AS cbm_2_years_ago
-    FROM sparse a LEFT JOIN m1 ON m1.d = a.ACTUALSHIPDATE AND m1.c = a.CATEGORY LEFT JOIN m2 ON m2.d = a.ACTUALSHIPDATE AND m2.c = a.CATEGORY""",
-    "daily", extra={"sparse": SPARSE, "cyc": CYC, "offs": OFFS, "m1": lunar_match("sparse", 1), "m2": lunar_match("sparse", 2)}))
+    FROM daily a LEFT JOIN m1 ON m1.d = a.ACTUALSHIPDATE AND m1.c = a.CATEGORY LEFT JOIN m2 ON m2.d = a.ACTUALSHIPDATE AND m2.c = a.CATEGORY""",
+    "daily", extra={"sparse": SPARSE, "cyc": CYC, "offs": OFFS, "m1": lunar_match("daily", 1, "sparse"), "m2": lunar_match("daily", 2, "sparse")}))
 def j6(spark: SparkSession, d: str) -> DataFrame:
-    """One category has a row every fifth day only, so the tolerance decides."""
-    out = H.lunar_yoy_volume(_sparse(spark, d), anchors=S.ANCHORS)
+    """All rows; one category's history has a row every fifth day only, so the tolerance decides."""
+    out = H.lunar_yoy_volume(S.daily(spark, d), anchors=S.ANCHORS, history=_sparse(spark, d))
     names = ["cbm", "cbm_last_year", "cbm_2_years_ago"]
     return rounded(out.withColumnRenamed(CBM, "cbm").select(DATE, CATEGORY, *names), *names)
 
@@ -269,9 +267,9 @@ def _sparse(spark: SparkSession, d: str) -> DataFrame:
 @query("C25_lunar_yoy_check", sql(f"""
     SELECT a.ACTUALSHIPDATE, a.CATEGORY, t.day AS aligned_date_1, m1.matched AS matched_date_1,
       {i("date_diff('day', m1.matched, a.ACTUALSHIPDATE)")} AS days_back_1, {pos('m1.matched')} = {pos('a.ACTUALSHIPDATE')} AS same_lunar_date_1
-    FROM sparse a JOIN cyc t ON t.y = year(a.ACTUALSHIPDATE) - 1 AND t.p = {pos('a.ACTUALSHIPDATE')}
+    FROM daily a JOIN cyc t ON t.y = year(a.ACTUALSHIPDATE) - 1 AND t.p = {pos('a.ACTUALSHIPDATE')}
     LEFT JOIN m1 ON m1.d = a.ACTUALSHIPDATE AND m1.c = a.CATEGORY""", "daily",
-    extra={"sparse": SPARSE, "cyc": CYC, "offs": OFFS, "m1": lunar_match("sparse", 1)}))
+    extra={"sparse": SPARSE, "cyc": CYC, "offs": OFFS, "m1": lunar_match("daily", 1, "sparse")}))
 def c25(spark: SparkSession, d: str) -> DataFrame:
-    out = H.lunar_yoy_volume(_sparse(spark, d), (1,), anchors=S.ANCHORS, audit=True)
+    out = H.lunar_yoy_volume(S.daily(spark, d), (1,), anchors=S.ANCHORS, audit=True, history=_sparse(spark, d))
     return out.select(DATE, CATEGORY, "aligned_date_1", "matched_date_1", "days_back_1", "same_lunar_date_1")

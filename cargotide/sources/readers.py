@@ -1,13 +1,18 @@
-"""File readers. Schemas are explicit; a missing column fails early."""
+"""File readers. Schemas are explicit, CSV columns are found by name, and a
+missing column fails early."""
 
 from __future__ import annotations
 
 import warnings
 from collections.abc import Iterable, Sequence
+from functools import reduce
+from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import DateType, StringType, StructField, StructType, TimestampNTZType, TimestampType
 
 from ..columns import DATE
+from ..functions.cleaning import parse_mixed_date, parse_mixed_timestamp
 
 PANEL_SCHEMA = (f"`{DATE}` date, `WHSEID` string, `CATEGORY` string, `BRAND` string, "
                 "`Total QTY` double, `Total CBM` double, `Week` string, `Day` int")
@@ -33,9 +38,43 @@ def list_names(spark: SparkSession, folder: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(path))
 
 
-def _read(spark: SparkSession, paths: Sequence[str], schema: str, fmt: str, **options: str) -> DataFrame:
-    reader = spark.read.schema(schema).options(**options)
-    return reader.option("header", True).csv(list(paths)) if fmt == "csv" else reader.format(fmt).load(list(paths))
+def _by_header(spark: SparkSession, paths: Sequence[str], options: dict[str, str]) -> dict[tuple[str, ...], list[str]]:
+    """Paths by the column names of their header line; only the head of each file is read."""
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for path in paths:
+        names = spark.read.options(**options).option("header", True).csv(path).columns
+        groups.setdefault(tuple(names), []).append(path)
+    return groups
+
+
+def _typed(field: StructField) -> Column:
+    """A column of a CSV file; dates and times are read as text, in mixed layouts."""
+    if isinstance(field.dataType, DateType):
+        return parse_mixed_date(field.name).alias(field.name)
+    if isinstance(field.dataType, (TimestampNTZType, TimestampType)):
+        return parse_mixed_timestamp(field.name).cast(field.dataType).alias(field.name)
+    return F.col(f"`{field.name}`")
+
+
+def _read(spark: SparkSession, paths: Sequence[str], schema: str, fmt: str, path_column: str | None = None,
+          **options: str) -> DataFrame:
+    """The columns of `schema`, for CSV by header name: files may order them differently and have
+    others beside them. `path_column` adds the file of each row."""
+    own = [] if path_column is None else [F.col("_metadata.file_path").alias(path_column)]
+    if fmt != "csv":
+        return spark.read.schema(schema).options(**options).format(fmt).load(list(paths)).select("*", *own)
+    wanted = StructType.fromDDL(schema)
+    timed = (DateType, TimestampNTZType, TimestampType)
+    kinds = {f.name: StringType() if isinstance(f.dataType, timed) else f.dataType for f in wanted}
+    parts = []
+    for header, files in _by_header(spark, paths, options).items():
+        missing = sorted(set(kinds) - set(header))
+        if missing:
+            raise ValueError(f"no column {', '.join(missing)} in {', '.join(files)}")
+        layout = StructType([StructField(c, kinds.get(c, StringType())) for c in header])
+        rows = spark.read.schema(layout).options(**options).option("header", True).csv(files)
+        parts.append(rows.select(*[_typed(f) for f in wanted], *own))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def read_years(spark: SparkSession, folder: str, years: Iterable[int], pattern: str = "data_{year}.csv",
@@ -77,8 +116,7 @@ def read_by_prefix(spark: SparkSession, folder: str, prefix: str, years: Iterabl
              if n.startswith(prefix) and year_of_name(n) in wanted]
     if not paths:
         raise FileNotFoundError(f"no file {prefix}* for {sorted(wanted)} in {folder}")
-    out = _read(spark, paths, schema, fmt, **options)
-    return out if source_column is None else out.withColumn(source_column, F.col("_metadata.file_path"))
+    return _read(spark, paths, schema, fmt, source_column, **options)
 
 
 def prune_files_by_range(files: DataFrame, start: str, end: str, name: str = "name") -> DataFrame:
@@ -133,9 +171,9 @@ def read_csv_with_encoding(spark: SparkSession, paths: Sequence[str], schema: st
     the list. Single-byte encodings accept every byte, so a third one is never reached."""
     others = [e for e in encodings if e.lower().replace("_", "-") not in ("utf-8", "utf8")]
     found = detect_encodings(spark, paths).collect()  # one small row per file
-    groups = {"UTF-8": [r["path"] for r in found if r["is_utf8"]]}
+    groups = {"UTF-8": [unquote(r["path"]) for r in found if r["is_utf8"]]}
     if others:
-        groups[SINGLE_BYTE.get(others[0], others[0])] = [r["path"] for r in found if not r["is_utf8"]]
+        groups[SINGLE_BYTE.get(others[0], others[0])] = [unquote(r["path"]) for r in found if not r["is_utf8"]]
     elif any(not r["is_utf8"] for r in found):
         raise ValueError("some files are not valid UTF-8 and no other encoding is allowed")
     parts = [_read(spark, files, schema, "csv", encoding=encoding, **options)
@@ -157,10 +195,15 @@ def read_runs(spark: SparkSession, base: str, schema: str, fmt: str = "csv",
               pattern: str = f"run_*/{MODE_PREFIX}*", **options: str) -> DataFrame:
     """S12. Stored forecast rows of every run, tagged with run id, run time and mode taken from
     the path `run_YYYYMMDD_HHMMSS/predictions_<mode>…`."""
-    rows = _read(spark, [f"{base}/{pattern}"], schema, fmt, **options)
-    path = F.col("_metadata.file_path")
+    glob = spark._jvm.org.apache.hadoop.fs.Path(f"{base}/{pattern}")
+    found = glob.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(glob) or []
+    paths = sorted(s.getPath().toString() for s in found)
+    if not paths:
+        raise FileNotFoundError(f"no runs in {base}")
+    rows = _read(spark, paths, schema, fmt, "_path", **options)
+    path = F.col("_path")
     stamp = F.regexp_extract(path, RUN_FOLDER, 1)
-    return rows.withColumns({
+    return rows.select("*", *[c.alias(name) for name, c in {
         "run_id": F.concat(F.lit("run_"), stamp),
         "run_time": F.try_to_timestamp(stamp, F.lit("yyyyMMdd_HHmmss")).cast("timestamp_ntz"),
-        "mode": F.regexp_extract(path, MODE_PREFIX + r"([a-z_]+?)(?:\.csv|\.parquet|/)", 1)})
+        "mode": F.regexp_extract(path, MODE_PREFIX + r"([a-z_]+?)(?:\.csv|\.parquet|/)", 1)}.items()]).drop("_path")

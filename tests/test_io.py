@@ -38,6 +38,20 @@ def test_prefix_range_and_lineage(spark, tmp_path):
     assert kept == {"Outboundreports_20240101_20240131.csv", "Outboundreports_2024_a.csv"}
 
 
+def test_columns_by_name_and_mixed_times(spark, tmp_path):
+    (tmp_path / "Outboundreports_20240101_20240131.csv").write_text("ORDERID,SKU,WHSEID,ACTUALSHIPDATE,CUBE_OUT,QTY,CATEGORY\n9,1,W,15/01/2024 18:30:00,5,2,DRY\n9,1,W,2024-01-15T18:30:00.250,5,2,DRY\n")
+    (tmp_path / "Outboundreports_20240201_20240229.csv").write_text("ACTUALSHIPDATE,WHSEID,SKU,CATEGORY,QTY,CUBE_OUT\n1/2/2024 9:05,W,1,FRESH,4,1\n02/13/2024,W,1,DRY,6,1\nnone,W,1,DRY,8,1\n")
+    rows = R.read_by_prefix(spark, str(tmp_path), "Outboundreports", [2024]).collect()
+    got = {(str(r.ACTUALSHIPDATE), r.SKU, r.CATEGORY, r.QTY, r.CUBE_OUT) for r in rows}
+    assert got == {("2024-01-15 18:30:00", "1", "DRY", 2.0, 5.0), ("2024-01-15 18:30:00.250000", "1", "DRY", 2.0, 5.0), ("2024-02-01 09:05:00", "1", "FRESH", 4.0, 1.0),
+                   ("2024-02-13 00:00:00", "1", "DRY", 6.0, 1.0), ("None", "1", "DRY", 8.0, 1.0)}
+    (tmp_path / "Outboundreports_20240301_20240331.csv").write_text("ACTUALSHIPDATE,SKU\n1/3/2024,1\n")
+    with pytest.raises(ValueError):
+        R.read_by_prefix(spark, str(tmp_path), "Outboundreports", [2024])
+    (tmp_path / "a b.csv").write_text("v,name\n3,x\n")
+    assert R.read_csv_with_encoding(spark, [str(tmp_path / "a b.csv")], "name string, v int").first().v == 3
+
+
 def test_mixed_encodings(spark, tmp_path):
     (tmp_path / "a.csv").write_bytes("name,v\nPhở,1\n".encode("utf-8"))
     (tmp_path / "b.csv").write_bytes("name,v\nCafé,2\n".encode("latin-1"))

@@ -131,7 +131,8 @@ def sets_table(docs: DataFrame, order, k: int) -> DataFrame:
 
 
 def region_pairs(sets: DataFrame) -> DataFrame:
-    """(pivot, doc) for all documents that share a boundary shingle, the pivot itself included."""
+    """(pivot, doc) for all documents that share a boundary shingle, the pivot itself included. Of
+    equal sets only the smallest document with a boundary enters regions; a pivot is always one."""
     def explode(batches):
         for batch in batches:
             keys = [np.frombuffer(b, np.int64) for b in batch.column(1).to_pylist()]
@@ -151,9 +152,12 @@ def region_pairs(sets: DataFrame) -> DataFrame:
             pairs = np.unique(np.stack([own, doc])[:, ~first], axis=1)
             yield pa.RecordBatch.from_pydict({"pivot": pairs[0].astype(np.int64), "doc": pairs[1].astype(np.int64)})
 
-    rows = sets.where("boundary IS NOT NULL AND doc_id IS NOT NULL").select("doc_id", "boundary").mapInArrow(explode, "shingle long, doc long")
+    bounded = sets.where("boundary IS NOT NULL AND doc_id IS NOT NULL")
+    rows = bounded.select("doc_id", "boundary").mapInArrow(explode, "shingle long, doc long")
     sorted_rows = rows.repartition("shingle").sortWithinPartitions("shingle", "doc")
-    pairs = stored(sorted_rows.mapInArrow(pivots, "pivot long, doc long").distinct(), "op3-pairs")
+    smallest = bounded.groupBy("set_key").agg(F.min("doc_id").alias("doc")).select("doc").distinct()
+    found = sorted_rows.mapInArrow(pivots, "pivot long, doc long").distinct()
+    pairs = stored(found.join(smallest, "doc", "left_semi").select("pivot", "doc"), "op3-pairs")
     return pairs.unionByName(pairs.select("pivot", F.col("pivot").alias("doc")).distinct()).distinct()
 
 
@@ -222,7 +226,7 @@ def pruned(members: DataFrame, sets: DataFrame) -> DataFrame:
             yield close()
 
     told = sets.where("sketch IS NOT NULL").select(F.col("doc_id").alias("doc"), "n", "sketch")
-    rows = members.join(told, "doc").select("pivot", "part", "doc", "n", "sketch", *marks)
+    rows = members.join(told.hint("merge"), "doc").select("pivot", "part", "doc", "n", "sketch", *marks)
     dealt = rows.repartition("pivot", "part").sortWithinPartitions("pivot", "part", "doc")
     return stored(dealt.mapInArrow(keep, "pivot long, part int, doc long"), "op3-members")
 
@@ -281,9 +285,10 @@ def region_links(ids: np.ndarray, sets: list[np.ndarray]) -> list[tuple[int, int
 
 
 def links_of_regions(docs: DataFrame, members: DataFrame, order, k: int) -> DataFrame:
-    """(a, b): spanning links of every region part."""
+    """(a, b): spanning links of every region part. Texts meet their regions by a shuffle join at
+    every size, as the members grow with the documents."""
     per_doc = members.groupBy("doc").agg(F.collect_list(F.struct("pivot", "part")).alias("regions"))
-    held = docs.join(per_doc, F.col("doc_id") == F.col("doc")).select("doc", "text", F.col("regions.pivot").alias("pivots"), F.col("regions.part").alias("parts"))
+    held = docs.join(per_doc.hint("merge"), F.col("doc_id") == F.col("doc")).select("doc", "text", F.col("regions.pivot").alias("pivots"), F.col("regions.part").alias("parts"))
 
     def derive(batches):
         for whole in batches:

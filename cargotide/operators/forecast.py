@@ -92,18 +92,22 @@ def fit_direct(train: DataFrame, inputs: int = 28, horizon: int = 31, keys: Keys
     """F2. All steps at once: a row per window and step, features of the last `inputs` days and
     of the label date. `weight` is an expression over `date`, `label` and the keys. The fit
     passes over its rows more than once, so the windows are kept (spilling to disk) and their
-    steps are rebuilt in each pass: a step row repeats its inputs, a window holds them once."""
-    scaler = fit_scaler(train, keys, value)
-    windows = sliding_windows(scaled_series(train, scaler, keys, value, date), inputs, horizon, ["value"],
+    steps are rebuilt in each pass: a step row repeats its inputs, a window holds them once. The
+    series and its scaler are stored, so that neither the fit nor a forecast computes them again."""
+    series = cut_lineage(train.select(*keys, date, as_column(value).alias(value)), "series")
+    scaler = cut_lineage(fit_scaler(series, keys, value), "scaler")
+    windows = sliding_windows(scaled_series(series, scaler, keys, value, date), inputs, horizon, ["value"],
                               "value", keys, "date").withColumn("x", F.flatten("x"))
     windows = _spread(windows, [*keys, "window_id"]).persist(StorageLevel.MEMORY_AND_DISK)
     steps = windows.select(*keys, "x", F.posexplode(F.arrays_zip("y_dates", "y")).alias("_p", "_s")).select(
         *keys, "x", (F.col("_p") + 1).alias("horizon_step"), F.col("_s.y_dates").alias("date"),
         F.col("_s.y").alias("label"))
     rows = _with_vector(steps, horizon).withColumn("weight", F.lit(1.0) if weight is None else weight)
-    fitted = LinearRegression(featuresCol="features", labelCol="label", weightCol="weight", regParam=reg,
-                              solver="normal", predictionCol="scaled").fit(rows.select("features", "label", "weight"))
-    windows.unpersist()
+    try:
+        fitted = LinearRegression(featuresCol="features", labelCol="label", weightCol="weight", regParam=reg,
+                                  solver="normal", predictionCol="scaled").fit(rows.select("features", "label", "weight"))
+    finally:
+        windows.unpersist()
     return DirectModel(fitted, scaler, inputs, horizon, tuple(keys))
 
 
@@ -127,7 +131,11 @@ def last_inputs(history: DataFrame, model: DirectModel, before: str, value: str,
 
 def forecast_direct(model: DirectModel, history: DataFrame, start: str, end: str, value: str = CBM,
                     date: str = DATE) -> DataFrame:
-    """F4. One row per key and day of exactly [start, end]."""
+    """F4. One row per key and day of exactly [start, end], which the model's steps must cover; longer
+    ranges go through `forecast_rolling_monthly`."""
+    wanted = (dt.date.fromisoformat(end) - dt.date.fromisoformat(start)).days + 1
+    if wanted > model.horizon:
+        raise ValueError(f"{wanted} days wanted, the model has {model.horizon} steps")
     spine = F.posexplode(F.sequence(F.lit(start).cast("date"), F.lit(end).cast("date")))
     rows = (last_inputs(history, model, start, value, date)
             .select(*model.keys, "x", spine.alias("_p", "date"))
@@ -135,12 +143,12 @@ def forecast_direct(model: DirectModel, history: DataFrame, start: str, end: str
     return _unscaled(model, rows).select("date", *model.keys, "predicted")
 
 
-def month_chunks(start: str, end: str) -> list[tuple[str, str]]:
-    """Calendar-month pieces of an inclusive range."""
+def month_chunks(start: str, end: str, longest: int = 31) -> list[tuple[str, str]]:
+    """Calendar-month pieces of an inclusive range, cut again where a month has over `longest` days."""
     first, last = dt.date.fromisoformat(start), dt.date.fromisoformat(end)
     out = []
     while first <= last:
-        following = (first.replace(day=1) + dt.timedelta(days=32)).replace(day=1)
+        following = min((first.replace(day=1) + dt.timedelta(days=32)).replace(day=1), first + dt.timedelta(days=longest))
         out.append((first.isoformat(), min(following - dt.timedelta(days=1), last).isoformat()))
         first = following
     return out
@@ -156,7 +164,7 @@ def forecast_rolling_monthly(model: DirectModel, history: DataFrame, start: str,
     recent = cut_lineage(history.select(*model.keys, date, as_column(value).alias(value))
                          .filter((F.col(date) >= floor) & (F.col(date) < F.lit(start).cast("date"))))
     result = None
-    for first, last in month_chunks(start, end):
+    for first, last in month_chunks(start, end, model.horizon):
         chunk = cut_lineage(forecast_direct(model, recent, first, last, value, date))
         result = chunk if result is None else result.unionByName(chunk)
         as_history = chunk.select(*model.keys, F.col("date").alias(date), F.col("predicted").alias(value))

@@ -10,7 +10,8 @@ from ..functions.cleaning import as_column
 
 
 def exact_quantiles(df: DataFrame, value: str, qs: Sequence[float], accuracy: int = 10_000) -> DataFrame:
-    """One row with `quantiles`: exact linear-interpolated quantiles, nulls ignored.
+    """One row with `quantiles`: exact linear-interpolated quantiles, nulls ignored; an empty array
+    where no value is left, so read it with `get`.
 
     First pass: a mergeable sketch brackets each wanted rank; its rank error is at most
     n / accuracy, and the bracket is four times wider. Second pass: count what lies below
@@ -58,5 +59,5 @@ def exact_quantiles(df: DataFrame, value: str, qs: Sequence[float], accuracy: in
 
 
 def quantile_column(df: DataFrame, value: str, q: float):
-    """A single exact quantile as a scalar subquery."""
-    return exact_quantiles(df, value, [q]).select(F.element_at("quantiles", 1)).scalar()
+    """A single exact quantile as a scalar subquery; null without values."""
+    return exact_quantiles(df, value, [q]).select(F.get("quantiles", 0)).scalar()

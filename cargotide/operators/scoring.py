@@ -154,7 +154,7 @@ def percentile_errors(df: DataFrame, percentiles: Sequence[int] = (90, 95), mask
     """E8."""
     rows = (df if mask is None else df.filter(mask)).select(F.abs(_err()).alias("_e"))
     values = exact_quantiles(rows, "_e", [p / 100.0 for p in percentiles])
-    return values.select(*[F.element_at("quantiles", i + 1).alias(f"p{p}_abs_error")
+    return values.select(*[F.get("quantiles", i).alias(f"p{p}_abs_error")
                            for i, p in enumerate(percentiles)])
 
 
@@ -258,8 +258,7 @@ def actuals_profile(df: DataFrame, date: str = "date") -> DataFrame:
     and the error share of zero days. Medians are exact: each part is one column."""
     day = F.dayofmonth(date)
     parts = {"all": F.lit(True), "early": day <= 10, "rest": day > 10}
-    median = {n: exact_quantiles(df.select(F.when(c, _act()).alias("_v")), "_v", [0.5])
-              .select(F.element_at("quantiles", 1)).scalar() for n, c in parts.items()}
+    median = {n: quantile_column(df.select(F.when(c, _act()).alias("_v")), "_v", 0.5) for n, c in parts.items()}
     named = df.withColumn("part", F.explode(F.array_compact(F.array(
         *[F.when(c, F.lit(n)) for n, c in parts.items()]))))
     zero = _act() == 0

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 from ..columns import CBM, DATE, QTY, SERIES_KEYS
 from ..functions.cleaning import as_column
 from ..functions.measures import density
-from .quantiles import exact_quantiles
+from .quantiles import quantile_column
 
 Keys = Sequence[str]
 
@@ -139,7 +139,7 @@ def median_fill(df: DataFrame, value: str, keys: Keys = SERIES_KEYS, source: str
     calendar), then the exact overall median."""
     src = source or value
     key_median = F.percentile(as_column(src), F.lit(0.5)).over(Window.partitionBy(*keys))
-    overall = exact_quantiles(df, src, [0.5]).select(F.element_at("quantiles", 1)).scalar()
+    overall = quantile_column(df, src, 0.5)
     return df.withColumn(value, F.coalesce(as_column(value), key_median, overall))
 
 

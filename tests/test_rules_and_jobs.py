@@ -50,6 +50,7 @@ def test_brand_chain(spark):
 
 def test_month_chunks():
     assert X.month_chunks("2024-01-30", "2024-03-02") == [("2024-01-30", "2024-01-31"), ("2024-02-01", "2024-02-29"), ("2024-03-01", "2024-03-02")]
+    assert X.month_chunks("2024-02-01", "2024-02-29", 14) == [("2024-02-01", "2024-02-14"), ("2024-02-15", "2024-02-28"), ("2024-02-29", "2024-02-29")]
 
 
 @pytest.fixture(scope="module")
@@ -66,6 +67,8 @@ def test_forecasts_cover_exactly_the_range(spark, history):
     for r in one[:20]:
         base = 50.0 if r.CATEGORY == "DRY" else 100.0
         assert abs(r.predicted - base) < 15
+    with pytest.raises(ValueError):
+        X.forecast_direct(model, history, "2024-05-15", "2024-06-15")
     many = X.forecast_rolling_monthly(model, history, "2024-05-15", "2024-07-31").collect()
     assert len(many) == 2 * 78 and len({(r.date, r.CATEGORY) for r in many}) == 2 * 78
     scored = X.teacher_forcing_eval(model, history)

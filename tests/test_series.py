@@ -115,6 +115,13 @@ def test_exact_quantiles_with_a_third_of_one_value(spark, accuracy):
     assert got == pytest.approx(list(np.quantile(data, qs)), abs=1e-9)
 
 
+def test_quantiles_without_values(spark):
+    nothing = spark.createDataFrame([("a", day("2024-01-01"), None), ("b", day("2024-01-01"), None)], "k string, d date, v double")
+    assert exact_quantiles(nothing, "v", [0.5]).first().quantiles == []
+    assert {r.v for r in O.median_fill(nothing, "v", ["k"]).collect()} == {None}
+    assert O.median_fill(nothing.filter("false"), "v", ["k"]).count() == 0
+
+
 def test_exact_quantile_of_few_rows(spark):
     df = spark.createDataFrame([(3.0,), (1.0,)], "v double")
     assert exact_quantiles(df, "v", [0.5, 0.8]).first().quantiles == pytest.approx([2.0, 2.6])

@@ -1,15 +1,18 @@
 """Near-duplicate passages across documents by compact windows (operator 1).
 
-A text is its sequence of 5-word shingles; each of `functions` hash functions orders them. A node of the
+A text is its sequence of 5-word shingles; each of `bands * 2` hash functions orders them. A node of the
 Cartesian tree over the hashes is a compact window (l, c, r): every subsequence that starts in l..c and
 ends in c..r has its minimum at c. Only windows of `least` shingles or more matter, about 2n / least
 for each function, found level by level for a whole batch of texts at once.
 
-1. Windows of one batch that share function and minimum are linked to the first of them there, so the
-   shuffle gets one window of each such group per batch, however often a passage repeats.
-2. Windows meet by minimum; all are linked to the one of the smallest document (a star, not all pairs).
-3. Links of two documents on nearly the same diagonal are interval-joined: where windows of
-   `votes` or more functions overlap, a candidate passage lies.
+1. The windows of a band's two functions are interval-joined inside each text: a cell is a run of starts
+   whose subsequences of `least` shingles have the same two minima. Cells meet by these minima. Cells of
+   one batch go to the shuffle once for each key, however often a passage repeats.
+2. Cells that meet another document are interval-joined again, over two bands and over all of them. Equal
+   passages have equal minima under every function, so a class over all bands holds whole passages and
+   not parts of them, and its smallest document is one that holds the passage.
+3. At each step a cell is linked to the smallest document of its class and to the one before its own (not
+   to all pairs). Links of two documents on nearby diagonals that touch are a candidate.
 4. Candidates are verified: the Jaccard similarity of the two passages' shingles is computed from the texts,
    trimmed to their matching part, and must reach the threshold.
 
@@ -22,17 +25,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from .common import as_text, by_size, mixed, shingles, stored, word_hashes, words
 
 K = 5
 WORDS = 50
-FUNCTIONS, VOTES = 6, 4
+#: Pairs of hash functions; one pair that agrees makes a candidate.
+BANDS = 3
 PART, WHOLE = 80, 100
 BATCH_CHARS = 6_000_000
-#: Shingles by which diagonals of one passage may differ, and gap inside a passage.
+#: Gap inside a passage, and shingles by which places of near passages may shift.
 DRIFT = 12
 
 
@@ -71,120 +74,176 @@ def compact_windows(hashes: np.ndarray, starts: np.ndarray, least: int) -> tuple
     return tuple(np.concatenate(x) for x in zip(*found))
 
 
-LINK = "doc long, l int, c int, r int, to long, tl int, tc int, tr int, f int"
-ROW = "key long, doc long, l int, c int, r int, to long, tl int, tc int, tr int, f int"
-
-
-def window_rows(docs: DataFrame, functions: int, least: int, k: int) -> DataFrame:
-    """Windows to be joined by key (`to` is null) and links found inside a batch."""
+#: An open cell waits for its class at `deal`, its key; a closed one has its key, and its link unless it is the head.
+CELL = "deal long, key long, doc long, s int, e int, band int, to long, ts int, te int"
+CLOSED = "key long, doc long, s int, e int, band int, to long, ts int, te int"
+
+
+def class_links(key: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For cells ordered by key and document: whether the class has several documents, and pairs (cell, cell
+    of an earlier document): the first one of the class, and the last one of the document before."""
+    at = np.arange(len(key))
+    new = np.concatenate([[True], key[1:] != key[:-1]])
+    first = np.maximum.accumulate(np.where(new, at, 0))
+    own = np.maximum.accumulate(np.where(new | np.concatenate([[True], doc[1:] != doc[:-1]]), at, 0))
+    other = doc != doc[first]
+    several = np.logical_or.reduceat(other, np.flatnonzero(new))[np.cumsum(new) - 1]
+    before = np.maximum(own - 1, 0)
+    more = other & (doc[before] != doc[first])
+    return several, np.concatenate([at[other], at[more]]), np.concatenate([first[other], before[more]])
+
+
+def closed_cells(key, doc, s, e, band) -> tuple[pa.RecordBatch, np.ndarray]:
+    """Cells of classes with several documents (heads and links), and which cells are in such classes."""
+    several, at, to = class_links(key, doc)
+    heads = np.flatnonzero(several & ~np.isin(np.arange(len(key)), at))
+    pick, target = np.concatenate([heads, at]), np.concatenate([heads, to])
+    none = np.arange(len(pick)) < len(heads)
+    ints = [pa.array(x[pick].astype(np.int32)) for x in (s, e, band)]
+    return pa.RecordBatch.from_arrays(
+        [pa.array(key[pick]), pa.array(doc[pick]), *ints, pa.array(doc[target], mask=none),
+         *[pa.array(x[target].astype(np.int32), mask=none) for x in (s, e)]], ["key", "doc", "s", "e", "band", "to", "ts", "te"]), several
+
+
+def local_cells(key, doc, s, e, band) -> Iterator[pa.RecordBatch]:
+    """Classes inside one batch are closed here; of each class the first document's cells stay open."""
+    if not len(key):
+        return
+    order = np.lexsort((s, doc, key))
+    key, doc, s, e, band = (x[order] for x in (key, doc, s, e, band))
+    done, _ = closed_cells(key, doc, s, e, band)
+    deal = mixed((done.column(1).to_numpy() * 31 + done.column(2).to_numpy()).astype(np.uint64)).astype(np.int64)
+    yield pa.RecordBatch.from_arrays([pa.array(deal), *done.columns], ["deal", *done.schema.names])
+    new = np.concatenate([[True], key[1:] != key[:-1]])
+    own = doc == doc[np.maximum.accumulate(np.where(new, np.arange(len(key)), 0))]
+    n = int(own.sum())
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(key[own]), pa.nulls(n, pa.int64()), pa.array(doc[own]), *[pa.array(x[own].astype(np.int32)) for x in (s, e, band)],
+         pa.nulls(n, pa.int64()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.int32())], ["deal", *done.schema.names])
+
+
+def runs_of(key: np.ndarray, place: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First and last index of each run of successive places of one text with the same key."""
+    if not len(key):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    new = np.concatenate([[True], (key[1:] != key[:-1]) | (row[1:] != row[:-1]) | (place[1:] != place[:-1] + 1)])
+    first = np.flatnonzero(new)
+    return first, np.concatenate([first[1:], [len(key)]]) - 1
+
+
+def minima(value: np.ndarray, starts: np.ndarray, f: int, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """Starts of all subsequences of `least` shingles, and the minimum of each under function f."""
+    own = mixed(value ^ np.uint64(0xA0761D6478BD642F * (f + 1) & (2**64 - 1)))
+    l, c, r = compact_windows(own, starts, least)
+    first, last = np.maximum(l, c - least + 1), np.minimum(c, r - least + 1)
+    order = np.argsort(first, kind="stable")
+    first, n, low = first[order], (last - first + 1)[order], own[c[order]]
+    return np.repeat(first - np.cumsum(n) + n, n) + np.arange(n.sum()), np.repeat(low, n)
+
+
+def band_cells(docs: DataFrame, bands: int, least: int, k: int) -> DataFrame:
     def derive(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in by_size(whole, 1, BATCH_CHARS):
                 value, starts = sequences(as_text(batch.column(1)), k)
                 ids = batch.column(0).to_numpy()
-                for f in range(functions):
-                    own = mixed(value ^ np.uint64(0xA0761D6478BD642F * (f + 1) & (2**64 - 1)))
-                    l, c, r = compact_windows(own, starts, least)
-                    if not len(c):
-                        continue
-                    row = np.searchsorted(starts, c, side="right") - 1
-                    doc, base = ids[row], starts[row]
-                    key = mixed(own[c] + np.uint64(f)).astype(np.int64)
-                    order = np.lexsort((c, doc, key))
-                    key, doc, l, c, r = key[order], doc[order], (l - base)[order], (c - base)[order], (r - base)[order]
-                    first = np.concatenate([[True], key[1:] != key[:-1]])
-                    head = np.maximum.accumulate(np.where(first, np.arange(len(key)), 0))
-                    other = ~first & (doc != doc[head])
-                    for pick, linked in ((first, False), (other, True)):
-                        at, to = np.flatnonzero(pick), head[pick]
-                        none = None if linked else np.ones(len(at), bool)
-                        yield pa.RecordBatch.from_arrays([
-                            pa.array(mixed((doc[at] * 31 + doc[to]).astype(np.uint64)).astype(np.int64) if linked else key[at]), pa.array(doc[at]),
-                            *[pa.array(x[at].astype(np.int32)) for x in (l, c, r)], pa.array(doc[to], mask=none),
-                            *[pa.array(x[to].astype(np.int32), mask=none) for x in (l, c, r)], pa.array(np.full(len(at), f, np.int32))],
-                            ["key", "doc", "l", "c", "r", "to", "tl", "tc", "tr", "f"])
-    return docs.mapInArrow(derive, ROW)
-
-
-def window_links(rows: DataFrame) -> DataFrame:
-    """Each window linked to the one of the smallest document with the same minimum; links pass."""
-    def star(batches):
-        key, head = None, None
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            cols = [batch.column(c).to_numpy(zero_copy_only=False) for c in range(5)]
-            joins = pc.is_null(batch.column(5)).to_numpy(zero_copy_only=False)
-            at = np.flatnonzero(joins)
-            out = [pa.RecordBatch.from_arrays(batch.columns[1:], batch.schema.names[1:]).filter(pa.array(~joins))]
-            if len(at):
-                keys, table = cols[0][at], np.stack([x[at] for x in cols[1:]])
-                first = np.concatenate([[keys[0] != key], keys[1:] != keys[:-1]])
-                start = np.maximum.accumulate(np.where(first, np.arange(len(at)), -1))
-                to = np.where(start >= 0, table[:, start], 0 if head is None else head[:, None])
-                key, head = keys[-1], to[:, -1]
-                pick = ~first & (to[0] != table[0])
-                f = batch.column(9).to_numpy()[at]
-                out.append(pa.RecordBatch.from_arrays(
-                    [pa.array(table[0][pick]), *[pa.array(x[pick].astype(np.int32)) for x in table[1:]], pa.array(to[0][pick].astype(np.int64)),
-                     *[pa.array(x[pick].astype(np.int32)) for x in to[1:]], pa.array(f[pick])], batch.schema.names[1:]))
-            yield from (x for x in out if x.num_rows)
-    dealt = rows.repartition("key").sortWithinPartitions("key", F.col("to").isNull(), "doc", "c")
-    return dealt.mapInArrow(star, LINK)
-
-
-def candidates_of(l, c, r, tl, tc, tr, f, least: int, votes: int) -> list[tuple[int, int, int, int]]:
-    """Interval join of one pair's links: (start, end, start there, end there), inclusive, where windows
-    of `votes` functions on nearby diagonals overlap."""
-    order = np.argsort(c - tc, kind="stable")
-    diagonal = (c - tc)[order]
-    out, a = [], 0
-    for b in range(1, len(order) + 1):
-        if b < len(order) and diagonal[b] - diagonal[b - 1] <= DRIFT:
-            continue
-        rows, a = order[a:b], b
-        if len(set(f[rows].tolist())) < votes:
+                for band in range(bands):
+                    place, low = minima(value, starts, 2 * band, least)
+                    _, high = minima(value, starts, 2 * band + 1, least)
+                    key = mixed(mixed(low + np.uint64(band)) ^ high).astype(np.int64)
+                    row = np.searchsorted(starts, place, side="right") - 1
+                    a, b = runs_of(key, place, row)
+                    base = starts[row[a]]
+                    yield from local_cells(key[a], ids[row[a]], place[a] - base, place[b] - base, np.full(len(a), band))
+    return docs.mapInArrow(derive, CELL)
+
+
+def whole_groups(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[list[np.ndarray]]:
+    """Columns of the sorted batches, cut only between groups of equal values of `column`."""
+    rest = None
+    for batch in batches:
+        if not batch.num_rows:
             continue
-        shift = c[rows] - tc[rows]
-        lo, hi = np.maximum(l[rows], tl[rows] + shift), np.minimum(r[rows], tr[rows] + shift)
-        points = np.unique(np.concatenate([lo, hi + 1]))
-        held = np.zeros((max(f[rows]) + 1, len(points)), int)
-        for j in range(len(rows)):
-            held[f[rows[j]], np.searchsorted(points, lo[j])] += 1
-            held[f[rows[j]], np.searchsorted(points, hi[j] + 1)] -= 1
-        enough = (np.cumsum(held, axis=1) > 0).sum(0) >= votes
-        edges = np.flatnonzero(np.diff(np.concatenate([[0], enough.astype(int), [0]])))
-        for s, e in zip(edges[::2], edges[1::2]):
-            start, end = int(points[s]), int(points[min(e, len(points) - 1)]) - 1
-            if end - start + 1 >= least:
-                out.append((start, end, max(start - int(shift.max()) - DRIFT, 0), end - int(shift.min()) + DRIFT))
-    return out
-
+        cols = [x.to_numpy(zero_copy_only=False) for x in batch.columns]
+        cols = cols if rest is None else [np.concatenate(x) for x in zip(rest, cols)]
+        cut = np.searchsorted(cols[column], cols[column][-1])
+        rest = [x[cut:] for x in cols]
+        if cut:
+            yield [x[:cut] for x in cols]
+    if rest is not None:
+        yield rest
+
+
+def closed(cells: DataFrame) -> DataFrame:
+    """Cells that meet another document, with their links; what is closed already passes."""
+    def star(batches):
+        def opened():
+            for batch in batches:
+                is_open = batch.column(1).is_null()
+                ready.append(batch.filter(batch.column(1).is_valid()).select(list(range(1, 9))))
+                yield batch.filter(is_open).select([0, 2, 3, 4, 5])
+        ready = []
+        for cols in whole_groups(opened(), 0):
+            yield from (x for x in ready if x.num_rows)
+            ready.clear()
+            yield closed_cells(*cols)[0]
+        yield from (x for x in ready if x.num_rows)
+    dealt = cells.repartition("deal").sortWithinPartitions("deal", "doc", "s")
+    return dealt.mapInArrow(star, CLOSED)
+
+
+def wider_cells(cells: DataFrame, bands: int) -> DataFrame:
+    """Cells over all bands, and over two neighbouring ones, where each band meets another document."""
+    groups = [*([b, b + 1] for b in range(0, bands - 1, 2) if bands > 2), list(range(bands))]
 
-def candidate_passages(links: DataFrame, least: int, votes: int) -> DataFrame:
+    def derive(batches):
+        for doc, band, s, e, key in whole_groups(batches, 0):
+            new = np.concatenate([[True], doc[1:] != doc[:-1]])
+            heads = np.flatnonzero(new)
+            ids, size = doc[heads], np.maximum.reduceat(e, heads).astype(np.int64) + 1
+            base = np.cumsum(size) - size
+            n = (e - s + 1).astype(np.int64)
+            at = np.repeat(base[np.cumsum(new) - 1] + s - np.cumsum(n) + n, n) + np.arange(n.sum())
+            keys = np.zeros((bands, int(size.sum())), np.int64)
+            keys[np.repeat(band, n), at] = np.repeat(key, n)
+            row = np.repeat(np.arange(len(ids)), size)
+            for g, own in enumerate(groups):
+                place = np.flatnonzero((keys[own] != 0).all(0))
+                joined = np.full(len(place), g + 1, np.uint64)
+                for b in own:
+                    joined = mixed(joined * np.uint64(0x9E3779B97F4A7C15) + keys[b, place].astype(np.uint64))
+                joined = joined.astype(np.int64)
+                a, z = runs_of(joined, place, row[place])
+                at_row, first, last = row[place[a]], place[a], place[z]
+                yield from local_cells(joined[a], ids[at_row], first - base[at_row], last - base[at_row], np.full(len(a), bands + g))
+    dealt = cells.select("doc", "band", "s", "e", "key").repartition("doc").sortWithinPartitions("doc")
+    return dealt.mapInArrow(derive, CELL)
+
+
+def merged(doc, to, s, e, ts, te, least: int) -> list[np.ndarray]:
+    """Candidates of links: those of one pair on nearby diagonals that touch are one. The passages in both
+    documents, (start, end) inclusive, the other one with room for a shift."""
+    diagonal = ts - s
+    order = np.lexsort((diagonal, to, doc))
+    doc, to, s, e, ts, te, diagonal = (x[order] for x in (doc, to, s, e, ts, te, diagonal))
+    new = np.concatenate([[True], (doc[1:] != doc[:-1]) | (to[1:] != to[:-1]) | (np.diff(diagonal) > least)])
+    cluster = np.cumsum(new)
+    order = np.lexsort((s, cluster))
+    doc, to, s, e, ts, te, cluster = (x[order] for x in (doc, to, s, e, ts, te, cluster))
+    reach = np.maximum.accumulate(e + (cluster << 32)) - (cluster << 32)
+    new = np.concatenate([[True], (cluster[1:] != cluster[:-1]) | (s[1:] > reach[:-1] + DRIFT)])
+    at = np.flatnonzero(new)
+    return [doc[at], to[at], s[at], np.maximum.reduceat(e, at) + least - 1,
+            np.maximum(np.minimum.reduceat(ts, at) - DRIFT, 0), np.maximum.reduceat(te, at) + least - 1 + DRIFT]
+
+
+def candidate_passages(links: DataFrame, least: int) -> DataFrame:
     def join(batches):
-        pair, held = None, []
-
-        def close():
-            cols = [np.array(x) for x in zip(*held)]
-            found = candidates_of(*cols, least, votes) if len(set(cols[6].tolist())) >= votes else []
-            return [(*pair, *x) for x in found]
-        for batch in batches:
-            out = []
-            for doc, l, c, r, to, tl, tc, tr, f in zip(*(x.to_pylist() for x in batch.columns)):
-                if (doc, to) != pair:
-                    if len(held) >= votes:
-                        out += close()
-                    pair, held = (doc, to), []
-                held.append((l, c, r, tl, tc, tr, f))
-            yield packed_rows(out)
-        if len(held) >= votes:
-            yield packed_rows(close())
-
-    def packed_rows(rows):
-        cols = list(zip(*rows)) or [[]] * 6
-        return pa.RecordBatch.from_arrays([pa.array(cols[k], pa.int64() if k in (0, 1) else pa.int32()) for k in range(6)], ["doc", "to", "s", "e", "ts", "te"])
-    return links.repartition("doc", "to").sortWithinPartitions("doc", "to").mapInArrow(join, "doc long, to long, s int, e int, ts int, te int")
+        for cols in whole_groups(batches, 0):
+            out = merged(*(x.astype(np.int64) for x in cols), least)
+            yield pa.RecordBatch.from_arrays([pa.array(x if k < 2 else x.astype(np.int32)) for k, x in enumerate(out)], ["doc", "to", "s", "e", "ts", "te"])
+    dealt = links.repartition("doc").sortWithinPartitions("doc")
+    return dealt.mapInArrow(join, "doc long, to long, s int, e int, ts int, te int")
 
 
 def verified(own: np.ndarray, other: np.ndarray, least: int, gap: int = DRIFT) -> list[tuple[int, int, int, int, float]]:
@@ -210,7 +269,7 @@ def verified(own: np.ndarray, other: np.ndarray, least: int, gap: int = DRIFT) -
 
 
 def passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, least_words: int = WORDS, k: int = K,
-             functions: int = FUNCTIONS, votes: int = VOTES) -> DataFrame:
+             bands: int = BANDS) -> DataFrame:
     """One row per verified passage: doc_id, start_word, n_words, keep_id, keep_start_word, keep_n_words,
     similarity; keep_id is an earlier document (smaller id) that holds the passage.
 
@@ -219,8 +278,10 @@ def passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *,
     """
     least = least_words - k + 1
     slim = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text")).where("doc_id IS NOT NULL AND text IS NOT NULL")
-    links = window_links(window_rows(slim, functions, least, k))
-    found = stored(candidate_passages(links, least, votes).distinct(), "op1-candidates")
+    cells = stored(closed(band_cells(slim, bands, least, k)), "op1-cells")
+    wide = closed(wider_cells(cells, bands))
+    links = cells.unionByName(wide).where("to IS NOT NULL").select("doc", "to", "s", "e", "ts", "te")
+    found = stored(candidate_passages(links, least), "op1-candidates")
     # a document needs its own passages and, as the kept one, one copy of itself for each salt of its links
     salt = F.pmod(F.xxhash64("doc"), F.lit(32)).cast("int")
     own = found.groupBy("doc").agg(F.collect_list(F.struct("to", "s", "e", "ts", "te")).alias("spans"), F.lit(None).cast("array<int>").alias("salts"))

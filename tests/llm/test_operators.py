@@ -241,3 +241,21 @@ def test_compact_windows_and_passages(docs, empty):
     rows = substring_dedup.passages(docs).collect()
     assert (12, 30, 80) in {(r.doc_id, r.start_word, r.n_words) for r in rows} and {r.doc_id for r in rows} == {2, 3, 12}
     assert all(r.similarity >= 0.8 and r.keep_id < r.doc_id for r in rows) and substring_dedup.passages(empty).count() == 0
+
+
+def test_passages_with_parts_in_earlier_documents(spark):
+    def own(n):
+        return [f"u{k}" for k in RNG.integers(0, 10**9, n)]
+    rows, want = [], set()
+    for k in range(40):  # half of an equal passage stands in earlier documents, also between its two holders
+        line, rest = own(32), own(28)
+        whole = rest[:14] + line + rest[14:] if k % 2 else line + rest
+        for j, part in enumerate([line, line, whole, line, line, whole]):
+            rows.append((k * 10 + j, " ".join(own(40) + part + own(40))))
+        want.add((k * 10 + 5, k * 10 + 2))
+    repeated, passage = own(30), own(25)  # the head document has the line at an earlier place too
+    rows += [(900, " ".join(repeated + own(60) + repeated + passage)), (901, " ".join(own(50) + repeated + passage))]
+    want.add((901, 900))
+    got = substring_dedup.passages(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    assert {(r.doc_id, r.keep_id) for r in got} == want and all(r.similarity == 1 for r in got)
+    assert all(abs(r.n_words - (55 if r.doc_id == 901 else 60)) == 0 for r in got)

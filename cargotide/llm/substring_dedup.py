@@ -32,7 +32,7 @@ from .common import as_text, by_size, mixed, shingles, stored, word_hashes, word
 K = 5
 WORDS = 50
 #: Pairs of hash functions; one pair that agrees makes a candidate.
-BANDS = 3
+BANDS = 6
 PART, WHOLE = 80, 100
 BATCH_CHARS = 6_000_000
 #: Gap inside a passage, and shingles by which places of near passages may shift.

@@ -259,3 +259,18 @@ def test_passages_with_parts_in_earlier_documents(spark):
     got = substring_dedup.passages(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
     assert {(r.doc_id, r.keep_id) for r in got} == want and all(r.similarity == 1 for r in got)
     assert all(abs(r.n_words - (55 if r.doc_id == 901 else 60)) == 0 for r in got)
+
+
+def test_near_passages_at_the_threshold_are_found(spark):
+    rng, rows, want = np.random.default_rng(5), [], set()
+
+    def own(n):
+        return [f"u{k}" for k in rng.integers(0, 10**9, n)]
+    for k in range(200):  # one word of 50 changed: 41 of 51 shingles are shared
+        a = own(50)
+        b = [*a[:20], "changed" + a[20], *a[21:]]
+        assert 100 * len(shingle_set(" ".join(a)) & shingle_set(" ".join(b))) >= 80 * len(shingle_set(" ".join(a)) | shingle_set(" ".join(b)))
+        rows += [(2 * k, " ".join(own(40) + a + own(40))), (2 * k + 1, " ".join(own(40) + b + own(40)))]
+        want.add((2 * k + 1, 2 * k))
+    got = {(r.doc_id, r.keep_id) for r in substring_dedup.passages(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()}
+    assert got <= want and len(got) >= 198

@@ -274,3 +274,16 @@ def test_near_passages_at_the_threshold_are_found(spark):
         want.add((2 * k + 1, 2 * k))
     got = {(r.doc_id, r.keep_id) for r in substring_dedup.passages(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()}
     assert got <= want and len(got) >= 198
+
+
+def test_small_languages_keep_their_models(spark):
+    rng = np.random.default_rng(3)
+    def text(first):
+        return " ".join("".join(chr(first + int(k)) for k in rng.integers(0, 20, 6)) for _ in range(12))
+    rows = [(k, "w%d of many plain words" % (k % 50), "en") for k in range(9000)]
+    rows += [(9000 + 10 * j + i, text(0x400 + 40 * j), f"l{j}") for j in range(12) for i in range(2)]  # two texts each in other scripts
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(r[0], 1, 0) for r in rows], "doc_id long, quality int, toxic int")
+    assert set(perplexity.train(frame, labels).alphabets) == {"*", "en", *(f"l{j}" for j in range(12))}
+    own = [r for r in perplexity.quality_report(frame, labels).where("lang <> 'en'").collect()]
+    assert len(own) == 24 and all(r.kept for r in own) and len({r.threshold for r in own}) == 12

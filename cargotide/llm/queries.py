@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, hnsw_dedup, jaccard_join, license_scan, mixing, packing, perplexity, pii_semicrf, substring_dedup, warc_index
+from . import exact_dedup, hnsw_dedup, importance, jaccard_join, license_scan, mixing, packing, perplexity, pii_semicrf, substring_dedup, warc_index
 from .common import table
 from .tokenizer_files import byte_bpe
 
@@ -51,9 +51,13 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii_semicrf.pii_report(table(spark, sf_dir, "documents"))
 
 
+def op12_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.importance_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_substring_dedup, op2_exact_dedup, op3_jaccard_join, op4_hnsw_dedup, op5_mixing, op6_perplexity, op7_packing, op8_license_scan,
-                            op9_warc_index, op10_pii)}
+                            op9_warc_index, op10_pii, op12_importance)}
 
 ORACLES: dict[str, str] = {
     "op9_warc_index": r"""

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import exact_dedup, hnsw_dedup, importance, jaccard_join, license_scan, mixing, packing, perplexity, pii_semicrf, substring_dedup, warc_index
+from . import exact_dedup, hnsw_dedup, importance, jaccard_join, license_scan, mixing, packing, perplexity, pii_semicrf, stable_search, substring_dedup, warc_index
 from .common import table
 from .tokenizer_files import byte_bpe
 
@@ -55,9 +55,13 @@ def op12_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importance.importance_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op13_stable_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stable_search.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_substring_dedup, op2_exact_dedup, op3_jaccard_join, op4_hnsw_dedup, op5_mixing, op6_perplexity, op7_packing, op8_license_scan,
-                            op9_warc_index, op10_pii, op12_importance)}
+                            op9_warc_index, op10_pii, op12_importance, op13_stable_search)}
 
 ORACLES: dict[str, str] = {
     "op9_warc_index": r"""

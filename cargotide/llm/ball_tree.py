@@ -1,13 +1,14 @@
 """Exact ranked lexical search with sparse ball trees (operator 11).
 
-A document is the sparse vector of what each term would add to a score (64-bit integers); an item is the
-0/1 vector of its terms, so a score is an inner product.
+A document is the sparse vector of its term impacts, an item that of its terms' weights (64-bit integers), so
+a score is an inner product.
 
 1. One scan turns every text into its number of terms and its counts of the items' terms (other
    terms add 0 to every score); these vectors are stored.
 2. Statistics over all documents: their number, their length, and the document frequency of each item term.
 3. Each task reads its vectors in shards of bounded size and builds a ball tree over a shard: a node has an
-   integer centroid c and a radius r that is rounded up, so q.x <= q.c + |q| r holds for all x below it.
+   integer centroid c and a radius r that is rounded up, so q.x <= q.c + |q| r holds for all x below it;
+   q counts with those of its terms only that occur below the node, since x and c are 0 in all others.
    Nodes are taken best-first; once the best open bound is below the k-th score so far the rest of the
    tree is pruned. Leaves are scored exactly in integers. The k-th scores carry over to the task's next shards.
 4. A salted and then a plain window keep the k best of each item.
@@ -29,7 +30,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from .common import as_text, by_size, stored
 
 SEPARATORS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
-LEAF = 32
+LEAF = 16
 #: Bounds of a shard that a task holds: documents and entries of their vectors.
 SHARD_DOCS, SHARD_ENTRIES = 16_384, 2_000_000
 #: Characters of items per block, and of documents that a task takes apart at a time.
@@ -60,6 +61,12 @@ class Items:
     def __len__(self) -> int:
         return len(self.starts) - 1
 
+    def vector(self, item: int, weight: np.ndarray) -> np.ndarray:
+        dense = np.zeros(len(weight), np.int64)
+        mine = self.terms[self.starts[item]:self.starts[item + 1]]
+        dense[mine] = weight[mine]
+        return dense
+
     def sums(self, dense: np.ndarray) -> np.ndarray:
         """Inner product of each item with a dense vector."""
         upto = np.concatenate([[0], np.cumsum(dense[self.terms])])
@@ -142,8 +149,8 @@ def rounded_up(far2: float, own2: float, centre2: float) -> float:
 class BallTree:
     """Ball tree of one shard, with the bound of every node for every item of the block."""
 
-    def __init__(self, vectors: Vectors, items: Items, size: int):
-        lengths = np.sqrt(np.diff(items.starts).astype(float)) * (1 + 1e-12)
+    def __init__(self, vectors: Vectors, items: Items, weight: np.ndarray):
+        size, weight2 = len(weight), weight.astype(float) ** 2
         self.children: list[tuple[int, int] | None] = []
         self.leaves: dict[int, tuple[np.ndarray, Vectors]] = {}
         bounds = []
@@ -160,8 +167,10 @@ class BallTree:
             centre = np.floor(np.bincount(here.at, here.value, size) / len(here))
             far2 = here.far2(centre, own)
             radius = rounded_up(float(far2.max()), float(own.max()), float(centre @ centre))
-            reach = np.ceil(lengths * radius * (1 + 1e-12)).astype(np.int64)
-            bound = items.sums(centre.astype(np.int64)) + reach
+            below = np.zeros(size)
+            below[here.at] = weight2[here.at]
+            reach = np.ceil(np.sqrt(items.sums(below) * (1 + 1e-9)) * radius).astype(np.int64)
+            bound = items.sums(centre.astype(np.int64) * weight) + reach
             bounds.append(bound if parent < 0 else np.minimum(bound, bounds[parent]))
             if len(rows) <= LEAF or radius == 0:
                 self.leaves[node] = rows, here
@@ -203,8 +212,6 @@ class BallTree:
 
 def _ranked(vectors: DataFrame, items: Items, weight: np.ndarray, docs: int, length: int, k: int) -> DataFrame:
     """(item, doc_id, score): each task's k best per item."""
-    size = len(weight)
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best = [(np.zeros(0, np.int64), np.zeros(0, np.int64)) for _ in range(len(items))]
         ids, counts, at, value = [], [], [], []
@@ -214,11 +221,9 @@ def _ranked(vectors: DataFrame, items: Items, weight: np.ndarray, docs: int, len
                 return
             vectors = Vectors(np.concatenate([[0], np.cumsum(np.concatenate(counts))]), np.concatenate(at), np.concatenate(value))
             who = np.concatenate(ids)
-            tree = BallTree(vectors, items, size)
+            tree = BallTree(vectors, items, weight)
             for i in range(len(items)):
-                wanted = np.zeros(size, np.int64)
-                wanted[items.terms[items.starts[i]:items.starts[i + 1]]] = 1
-                best[i] = tree.search(i, wanted, k, best[i], who)[:2]
+                best[i] = tree.search(i, items.vector(i, weight), k, best[i], who)[:2]
             for kept in (ids, counts, at, value):
                 kept.clear()
 
@@ -227,7 +232,7 @@ def _ranked(vectors: DataFrame, items: Items, weight: np.ndarray, docs: int, len
             count = lists.value_lengths().to_numpy()
             term, tf = lists.flatten().to_numpy(), batch.column(3).flatten().to_numpy().astype(np.int64)
             m = np.repeat(length_factor(n, docs, length), count)
-            worth = weight[term] * (1_000_000_000 * tf // (1000 * tf + 20 * m))
+            impact = 1_000_000_000 * tf // (1000 * tf + 20 * m)
             ends = np.concatenate([[0], np.cumsum(count)])
             first = 0
             while first < len(n):
@@ -241,7 +246,7 @@ def _ranked(vectors: DataFrame, items: Items, weight: np.ndarray, docs: int, len
                 ids.append(batch.column(0).to_numpy()[first:last])
                 counts.append(count[first:last])
                 at.append(term[ends[first]:ends[last]])
-                value.append(worth[ends[first]:ends[last]])
+                value.append(impact[ends[first]:ends[last]])
                 first = last
         search()
         if not best:

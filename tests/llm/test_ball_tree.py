@@ -59,15 +59,15 @@ def test_ranks_equal_the_plain_version(spark, monkeypatch, block_chars):
 def test_bounds_hold_and_prune():
     items = ball_tree.Items([text(8) for _ in range(20)])
     size = len(items.vocabulary)
-    centre = RNG.integers(0, 3 * 10**10, (40, size)) * (RNG.random((40, size)) < 0.3)
-    dense = np.repeat(centre, 50, 0) + RNG.integers(0, 10**6, (2000, size)) * (RNG.random((2000, size)) < 0.1)
+    weight = RNG.integers(0, 25_000, size)
+    centre = RNG.integers(0, 10**6, (40, size)) * (RNG.random((40, size)) < 0.3)
+    dense = np.repeat(centre, 50, 0) + RNG.integers(0, 10**4, (2000, size)) * (RNG.random((2000, size)) < 0.1)
     at = [np.flatnonzero(row) for row in dense]
     vectors = ball_tree.Vectors(np.cumsum([0, *map(len, at)]), np.concatenate(at), np.concatenate([row[a] for row, a in zip(dense, at)]))
-    tree = ball_tree.BallTree(vectors, items, size)
+    tree = ball_tree.BallTree(vectors, items, weight)
     scored = 0
     for i in range(len(items)):
-        wanted = np.zeros(size, np.int64)
-        wanted[items.terms[items.starts[i]:items.starts[i + 1]]] = 1
+        wanted = items.vector(i, weight)
         truth = dense @ wanted
         for node, (rows, _) in tree.leaves.items():
             assert (truth[rows] <= tree.bounds[node, i]).all()

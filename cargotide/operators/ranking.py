@@ -22,11 +22,11 @@ def ranges_of(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def in_ranges(df: DataFrame, order: Sequence[Column], label: str = "ranges") -> DataFrame:
+def in_ranges(df: DataFrame, order: Sequence[Column], label: str = "ranges", ranges: int | None = None) -> DataFrame:
     """The rows with `_range`, the number of their range of the order, and `_place`, their place in
     it from 0; stored, so both stay as they are. Rows equal in the whole order stay in one range:
     combine them first, or add a column that tells them apart."""
-    dealt = df.repartitionByRange(ranges_of(df), *order).sortWithinPartitions(*order)
+    dealt = df.repartitionByRange(ranges or ranges_of(df), *order).sortWithinPartitions(*order)
     stamped = cut_lineage(dealt.withColumn("_stamp", F.monotonically_increasing_id()), label)
     return stamped.withColumns({"_range": F.shiftright("_stamp", _PLACE_BITS).cast("int"),
                                 "_place": F.col("_stamp").bitwiseAND(F.lit((1 << _PLACE_BITS) - 1))}).drop("_stamp")

@@ -13,7 +13,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..columns import BRAND, CATEGORY
 from ..functions import measures as M
 from ..functions.cleaning import as_column
-from .quantiles import exact_quantiles, quantile_column
+from ..session import cut_lineage
+from .quantiles import exact_quantiles, grouped_quantiles, quantile_column
 
 Keys = Sequence[str]
 
@@ -124,7 +125,8 @@ def quantile_coverage(df: DataFrame, q: float = 0.9, by: Keys = (), mask: Column
 
 def segmented_metrics(df: DataFrame, q: float = 0.8, date: str = "date") -> DataFrame:
     """E6. One wide row: spikes and the rest, bias, and weekdays."""
-    rows = df.withColumn("_t", quantile_column(df, "actual", q)).withColumn("_dow", F.weekday(date))
+    kept = cut_lineage(df.select(date, "actual", "predicted"), "scores")  # for the threshold and the scores
+    rows = kept.withColumn("_t", quantile_column(kept, "actual", q)).withColumn("_dow", F.weekday(date))
     spike, dow = _act() > F.col("_t"), F.col("_dow")
     over, total = F.count(F.when(_err() > 0, 1)), F.count(F.lit(1))
     under = F.count(F.when(_err() <= 0, 1))
@@ -161,7 +163,9 @@ def percentile_errors(df: DataFrame, percentiles: Sequence[int] = (90, 95), mask
 def spike_classification(df: DataFrame, threshold: float | None = None, q: float = 0.8,
                          mask: Column | None = None) -> DataFrame:
     """E9. Does the forecast exceed the threshold when the actual does?"""
-    rows = df if mask is None else df.filter(mask)
+    rows = (df if mask is None else df.filter(mask)).select("actual", "predicted")
+    if threshold is None:
+        rows = cut_lineage(rows, "scores")
     limit = F.lit(float(threshold)) if threshold is not None else quantile_column(rows, "actual", q)
     rows = rows.withColumn("_t", limit)
     a, p = _act() > F.col("_t"), _pred() > F.col("_t")
@@ -255,12 +259,12 @@ def weighted_losses(df: DataFrame, weight: str = "weight", peak: str = "is_peak"
 
 def actuals_profile(df: DataFrame, date: str = "date") -> DataFrame:
     """E14. Distribution of the actuals by part of the month (all, early, rest) with the bias
-    and the error share of zero days. Medians are exact: each part is one column."""
+    and the error share of zero days. Medians are exact; the rows are stored once for both passes."""
     day = F.dayofmonth(date)
     parts = {"all": F.lit(True), "early": day <= 10, "rest": day > 10}
-    median = {n: quantile_column(df.select(F.when(c, _act()).alias("_v")), "_v", 0.5) for n, c in parts.items()}
-    named = df.withColumn("part", F.explode(F.array_compact(F.array(
-        *[F.when(c, F.lit(n)) for n, c in parts.items()]))))
+    named = cut_lineage(df.select(F.explode(F.array_compact(F.array(
+        *[F.when(c, F.lit(n)) for n, c in parts.items()]))).alias("part"), "actual", "predicted"), "profile")
+    median = grouped_quantiles(named, ["part"], "actual", [0.5]).select("part", F.get("quantiles", F.lit(0)).alias("median"))
     zero = _act() == 0
     stats = named.groupBy("part").agg(
         F.count(F.lit(1)).alias("rows"), F.avg(_act()).alias("mean"), F.min(_act()).alias("min"), F.max(_act()).alias("max"),
@@ -268,10 +272,7 @@ def actuals_profile(df: DataFrame, date: str = "date") -> DataFrame:
         F.count(F.when(_act() < 50, 1)).alias("below_50"), F.count(F.when(_act() < 100, 1)).alias("below_100"),
         (F.avg(_pred()) - F.avg(_act())).alias("bias"),
         (F.try_divide(F.sum(F.when(zero, F.abs(_err())).otherwise(0.0)), F.sum(F.abs(_err()))) * 100).alias("zero_day_error_pct"))
-    pick = F.lit(None).cast("double")
-    for name, value in median.items():
-        pick = F.when(F.col("part") == name, value).otherwise(pick)
-    return stats.withColumn("median", pick)
+    return stats.join(median, "part", "left")
 
 
 # Ranges of the actual, upper bound exclusive.

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from cargotide.functions import lunar as L
 from cargotide.operators import history as H, sampling as S, series as O
-from cargotide.operators.quantiles import exact_quantiles
+from cargotide.operators.quantiles import exact_quantiles, grouped_quantiles
+from cargotide.operators.ranking import with_positions
 from conftest import day, days
 from test_calendar import lunar_by_stepping
 
@@ -104,17 +105,40 @@ def test_splits(spark):
     assert one == two
 
 
-@pytest.mark.parametrize("accuracy", [10, 1000, 100_000])
-def test_exact_quantiles_with_a_third_of_one_value(spark, accuracy):
+@pytest.mark.parametrize("ranges", [1, 3, 40])
+def test_exact_quantiles_with_a_third_of_one_value(spark, ranges):
     rng = np.random.default_rng(2)
     data = np.concatenate([np.zeros(1000), rng.normal(5, 3, 2000).round(2)])
     rng.shuffle(data)
     df = spark.createDataFrame([(float(x),) for x in data] + [(None,)], "v double").repartition(5)
     qs = [0.0, 0.1, 0.25, 0.5, 0.8, 0.95, 0.999, 1.0]
-    got = exact_quantiles(df, "v", qs, accuracy).first().quantiles
+    got = exact_quantiles(df, "v", qs, ranges).first().quantiles
     assert got == pytest.approx(list(np.quantile(data, qs)), abs=1e-9)
 
 
+def test_grouped_quantiles_of_a_hot_null_constant_and_empty_group(spark):
+    rng = np.random.default_rng(4)
+    groups = {("hot", 1): rng.normal(size=3000), ("hot", None): [7.0] * 500, (None, 1): rng.integers(0, 4, 90).astype(float), ("one", 2): [3.5], ("none", 3): []}
+    rows = [(*k, float(x)) for k, v in groups.items() for x in v] + [("none", 3, None), ("one", 2, None)]
+    df = spark.createDataFrame(rows, "a string, b int, v double").repartition(4)
+    qs = [0.0, 0.3, 0.5, 0.99, 1.0]
+    for ranges in (2, 23):
+        got = {(r.a, r.b): (r.n, r.quantiles) for r in grouped_quantiles(df, ["a", "b"], "v", qs, ranges).collect()}
+        assert got.keys() == {k for k, v in groups.items() if len(v)}
+        for k, (n, quantiles) in got.items():
+            assert n == len(groups[k]) and quantiles == pytest.approx(list(np.quantile(groups[k], qs)), abs=1e-12)
+    assert grouped_quantiles(df.limit(0), ["a"], "v", qs).count() == 0
+
+
+def test_positions_follow_the_order_without_gaps(spark):
+    rng = np.random.default_rng(6)
+    rows = [(int(rng.integers(0, 5)) if k % 7 else None, k) for k in range(2000)]
+    df = spark.createDataFrame(rows, "a int, b int").repartition(6)
+    got = {r.position: (r.a, r.b) for r in with_positions(df, [F.desc_nulls_last("a"), F.asc("b")]).collect()}
+    assert [got[k] for k in range(2000)] == sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), r[1]))
+    assert with_positions(df.limit(0), [F.col("a")]).count() == 0
+
+
 def test_quantiles_without_values(spark):
     nothing = spark.createDataFrame([("a", day("2024-01-01"), None), ("b", day("2024-01-01"), None)], "k string, d date, v double")
     assert exact_quantiles(nothing, "v", [0.5]).first().quantiles == []

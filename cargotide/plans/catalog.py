@@ -35,6 +35,6 @@ def rounded(df: DataFrame, *columns: str, digits: int = 6) -> DataFrame:
 
 def load() -> tuple[dict[str, Query], dict[str, str]]:
     """All registered queries and oracles."""
-    from . import (queries_calendar, queries_clean, queries_forecast, queries_history, queries_jobs,  # noqa: F401
+    from . import (queries_calendar, queries_clean, queries_features, queries_forecast, queries_history, queries_jobs,  # noqa: F401
                    queries_panel, queries_scores, queries_series)
     return dict(QUERIES), dict(ORACLES)

@@ -6,12 +6,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..columns import BRAND, CATEGORY, CBM, DATE, PANEL_KEYS, QTY, SERIES_KEYS
 from ..functions import calendar as K, lunar as L
 from ..functions.cleaning import UNIT_RULES, UnitRule
-from ..operators import events, forecast, history, panel, rules, sampling, scoring, series, stats
+from ..operators import events, feature_forecast, history, panel, rules, sampling, scoring, series, stats
+from ..operators.feature_forecast import FeatureSet
+from ..operators.regression import Reweight
 from ..sources import writers
 from ..session import cut_lineage
 from ..sources.calendars import holiday_dates
@@ -83,13 +85,40 @@ def training_job(features: DataFrame, inputs: int = 28, horizon: int = 30, keys:
     return TrainingSet(rows, scaler, stats.encode_categories(features), windows)
 
 
+# Calendar columns of the label day that the model uses, by name.
+MODEL_COLUMNS = (
+    "month_sin", "month_cos", "dayofmonth_sin", "dayofmonth_cos", "day_of_week_sin", "day_of_week_cos", "is_weekend", "Is_Monday",
+    "weekday_volume_tier", "is_high_volume_weekday", "is_EOM", "days_until_month_end", "is_mid_month_peak", "is_first_5_days", "post_peak_signal",
+    "is_high_vol_weekday_AND_early_month", "lunar_month_sin", "lunar_month_cos", "lunar_day_sin", "lunar_day_cos", "holiday_indicator",
+    "days_until_next_holiday", "days_since_holiday", "days_to_tet", "days_to_mid_autumn", "is_pre_holiday_surge", "is_active_season",
+    "is_golden_window", "is_peak_loss_window")
+
+
+def model_features(calendar: DataFrame, anchors: L.Anchors = L.MID_AUTUMN_ANCHORS, columns: Sequence[str] = MODEL_COLUMNS, **options) -> FeatureSet:
+    """The training frame's features for a fit: rolling means, momentum, last values and last year of the series, and
+    the calendar columns of the day that is forecast."""
+    return FeatureSet(calendar=tuple(columns), known=lambda df, date: calendar_features(df, calendar, anchors, date), **options)
+
+
 def forecast_job(spark: SparkSession, train: DataFrame, actuals: DataFrame, calendar: DataFrame, start: str, end: str,
                  path: str | None = None, keys: Keys = SERIES_KEYS, anchors: L.Anchors = L.MID_AUTUMN_ANCHORS,
-                 overrides: Sequence[rules.DayOverride] = (), missing: str = "zero") -> DataFrame:
-    """Fit, forecast month by month, apply the business rules in original units, attach the
-    actuals and write. Brand series use the brand rules, others the category rules."""
-    model = forecast.fit_direct(train, keys=keys)
-    raw = forecast.forecast_rolling_monthly(model, train, start, end)
+                 overrides: Sequence[rules.DayOverride] = (), missing: str = "zero", features: FeatureSet | None = None,
+                 weight: Column | None = None, loss: Reweight | None = None, shrink: float = 50.0, stride: int = 7,
+                 least_rows: int = 100, wanted: DataFrame | None = None, smoothing: float = 1.0) -> DataFrame:
+    """Fit per key on the features, forecast month by month, apply the business rules in original units, attach the
+    actuals and write. Brand series use the brand rules, others the category rules. With `wanted` (the keys to
+    forecast, the last column being the part of the others), a key with fewer than `least_rows` training rows gets
+    its share of the forecast of its whole, so no wanted key is lost."""
+    used = features or model_features(calendar, anchors)
+    fit = dict(features=used, weight=weight, loss=loss, shrink=shrink, stride=stride)
+    model = feature_forecast.fit_features(train, keys=keys, least_rows=least_rows, **fit)
+    raw = feature_forecast.forecast_features(model, train, start, end, warm=anchors)
+    if wanted is not None:
+        whole = train.groupBy(*keys[:-1], DATE).agg(F.sum(F.col(f"`{CBM}`")).alias(CBM))
+        whole = cut_lineage(whole, "wholes")
+        parents = feature_forecast.forecast_features(feature_forecast.fit_features(whole, keys=keys[:-1], **fit), whole, start, end)
+        raw = feature_forecast.complete_forecast(raw, parents, wanted, train, keys[:-1], keys[-1:], smoothing=smoothing)
+    raw = raw.drop("model")
     if BRAND in keys:
         ruled = rules.postprocess_brand(raw, calendar, overrides, keys)
     else:
@@ -111,5 +140,5 @@ def score_job(forecasts: DataFrame) -> dict[str, DataFrame]:
             "days_of_month": scoring.day_of_month_buckets(forecasts)}
 
 
-__all__ = ["QTY", "TrainingSet", "calendar_features", "feature_frame", "forecast_job", "panel_job", "score_job",
-           "training_job"]
+__all__ = ["MODEL_COLUMNS", "QTY", "TrainingSet", "calendar_features", "feature_frame", "forecast_job", "model_features", "panel_job",
+           "score_job", "training_job"]

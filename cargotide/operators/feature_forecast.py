@@ -91,7 +91,10 @@ def _rows(series: DataFrame, features: FeatureSet, horizon: int, keys: Keys, str
     at_label += [F.col(c).cast("double") for c in features.calendar]
     base = F.lit(0.0) if features.baseline is None else trailing_mean("value", features.baseline, keys, "date")
     none = F.array().cast("array<double>")
-    days = features.with_calendar(series, "date").select(
+    # the steps are made in the tasks of the windows: a fixed number of tasks, since the narrow series alone would be
+    # merged into few
+    tasks = int(series.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    days = features.with_calendar(series, "date").repartition(tasks, *keys).select(
         *keys, "date", "value", base.alias("baseline"), (F.array(*at_origin) if at_origin else none).alias("_origin"),
         (F.array(*at_label) if at_label else none).alias("_label"))
     ahead = F.collect_list(F.struct("date", "value", "_label")).over(w.rowsBetween(1, horizon))
@@ -110,7 +113,10 @@ def fit_features(train: DataFrame, features: FeatureSet, horizon: int = 31, keys
     expression over the keys, `date` and `actual` (F1); `loss` refits with weights that depend on the
     prediction (F1, E13). `stride` uses every n-th origin day. Keys with fewer than `least_rows` training rows are forecast by
     the pooled model."""
-    scaler = cut_lineage(fit_scaler(train, keys, value), "scaler") if scaled else None
+    scaler = None
+    if scaled:  # both the scaler and the rows read the series
+        train = cut_lineage(train.select(*keys, date, as_column(value).alias(value)), "series")
+        scaler = cut_lineage(fit_scaler(train, keys, value), "scaler")
     rows = _rows(_prepared(train, keys, value, date, scaler), features, horizon, keys, stride)
     rows = rows.withColumn("label", F.col("actual") - F.col("baseline")).withColumn("weight", F.lit(1.0) if weight is None else weight)
     size = len(features.names)

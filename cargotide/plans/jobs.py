@@ -110,6 +110,7 @@ def forecast_job(spark: SparkSession, train: DataFrame, actuals: DataFrame, cale
     forecast, the last column being the part of the others), a key with fewer than `least_rows` training rows gets
     its share of the forecast of its whole, so no wanted key is lost."""
     used = features or model_features(calendar, anchors)
+    train = cut_lineage(train.select(*keys, DATE, F.col(f"`{CBM}`")), "train")
     fit = dict(features=used, weight=weight, loss=loss, shrink=shrink, stride=stride)
     model = feature_forecast.fit_features(train, keys=keys, least_rows=least_rows, **fit)
     raw = feature_forecast.forecast_features(model, train, start, end, warm=anchors)
@@ -125,7 +126,7 @@ def forecast_job(spark: SparkSession, train: DataFrame, actuals: DataFrame, cale
         ruled = rules.postprocess_category(raw, calendar, anchors, keys)
     scored = history.attach_actuals(ruled, actuals, keys, missing)
     if path is None:
-        return scored
+        return cut_lineage(scored, "forecasts")
     stored = scored if BRAND in keys else scored.withColumn(BRAND, F.lit("ALL"))
     writers.write_forecasts(stored, path)
     return writers.combined_forecasts(spark, path)

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..columns import BRAND, CATEGORY, CBM, DATE, QTY
 from ..session import scratch_path
+from ..operators.scoring import accuracy_by
 from . import jobs as J, shipments as S
 from .catalog import ORACLES, query, r, rounded
 from .sqltext import V, i, r as rs, sql
@@ -87,7 +88,7 @@ def forecast_scores(spark: SparkSession, d: str) -> DataFrame:
     rows = S.dense(spark, d)
     out = J.forecast_job(spark, before(rows), rows, S.calendar(spark), "2001-01-01", "2001-02-28", anchors=S.ANCHORS,
                          features=ONE, shrink=0.0, least_rows=0)
-    scores = J.score_job(out)["accuracy"]
+    scores = accuracy_by(out)
     return rounded(scores, *[c for c, t in scores.dtypes if t == "double"])
 
 

@@ -100,13 +100,29 @@ YEAR_FIRST, DAY_FIRST, MONTH_FIRST = "yyyy/M/d", "d/M/yyyy", "M/d/yyyy"
 TIME_OF_DAY = "[ H:m[:s][.SSSSSS]]"
 
 
+# After a time of day: a zone as Z or an offset, or the half of the day.
+ZONE = r"(?<=:\d{2})(\.\d+)?\s*(Z|z|[+-]\d{2}:?\d{2}|[+-]\d{2})$"
+HALF_DAY = r"(?i)(?<=\d)\s*([ap])\.?m\.?$"
+
+
 def parse_mixed_timestamp(value: str | Column, dayfirst: bool = True) -> Column:
     """S6. Wall-clock time of a text: year first, else day before month (or the other way round), the
     other order where that cannot be; one or two digits, `-` or `/`, blank or `T`, time of day and
-    fraction optional. Nothing fits gives null."""
-    text = F.translate(F.trim(as_column(value)), "-T", "/ ")
+    fraction optional. A time with a zone (`Z`, `+07:00`) becomes UTC, `AM` and `PM` are understood.
+    Nothing fits gives null."""
+    whole = F.trim(as_column(value))
+    zone = F.regexp_extract(whole, ZONE, 2)
+    local = F.when(zone == "", whole).otherwise(F.regexp_replace(whole, ZONE, "$1"))
+    half = F.lower(F.regexp_extract(local, HALF_DAY, 1))
+    text = F.translate(F.when(half == "", local).otherwise(F.regexp_replace(local, HALF_DAY, "")), "-T", "/ ")
     order = (DAY_FIRST, MONTH_FIRST) if dayfirst else (MONTH_FIRST, DAY_FIRST)
-    return F.coalesce(*[F.try_to_timestamp(text, F.lit(f + TIME_OF_DAY)) for f in (YEAR_FIRST, *order)]).cast("timestamp_ntz")
+    clock = F.coalesce(*[F.try_to_timestamp(text, F.lit(f + TIME_OF_DAY)) for f in (YEAR_FIRST, *order)]).cast("timestamp_ntz")
+    hour = F.hour(clock)
+    moved = F.when((half == "p") & (hour < 12), 12).when((half == "a") & (hour == 12), -12).otherwise(0)
+    digits = F.regexp_replace(zone, "[^0-9]", "")
+    minutes = (F.coalesce(F.substring(digits, 1, 2).try_cast("int"), F.lit(0)) * 60 + F.coalesce(F.substring(digits, 3, 2).try_cast("int"), F.lit(0)))
+    ahead = F.when(F.startswith(zone, F.lit("-")), -minutes).otherwise(minutes)
+    return (clock + F.make_dt_interval(hours=moved, mins=-ahead)).cast("timestamp_ntz")
 
 
 def parse_mixed_date(value: str | Column, dayfirst: bool = True,

@@ -79,8 +79,13 @@ def daily_panel(lines: DataFrame, master: DataFrame, rules: Sequence[UnitRule] =
     """P1 + J1 + P6 + P4 + P5 + A1 in one pass over the lines. Rows with a missing key are
     left out, as grouping in the original does. Coarser `keys` go straight from the lines to
     the coarser totals with a single small shuffle."""
-    cleaned = clean_measures(drop_categories(enrich_sku(lines, master), excluded), rules)
-    dated = cleaned.withColumn(DATE, business_date(DATE, tz_hours, cutoff_hour))
+    return panel_of(drop_categories(enrich_sku(lines, master), excluded), rules, tz_hours, cutoff_hour, keys)
+
+
+def panel_of(joined: DataFrame, rules: Sequence[UnitRule] = UNIT_RULES, tz_hours: int = 7, cutoff_hour: int = 17,
+             keys: Sequence[str] = PANEL_KEYS) -> DataFrame:
+    """P1 + P4 + P5 + A1 of lines that have their brand and category."""
+    dated = clean_measures(joined, rules).withColumn(DATE, business_date(DATE, tz_hours, cutoff_hour))
     return aggregate_panel(dated, keys)
 
 

@@ -6,12 +6,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from ..columns import BRAND, CATEGORY, CBM, DATE, PANEL_KEYS, QTY, SERIES_KEYS
 from ..functions import calendar as K, lunar as L
 from ..functions.cleaning import UNIT_RULES, UnitRule
-from ..operators import events, feature_forecast, history, panel, rules, sampling, scoring, series, stats
+from ..operators import events, feature_forecast, history, panel, rejects as reject, rules, sampling, scoring, series, stats
 from ..operators.feature_forecast import FeatureSet
 from ..operators.regression import Reweight
 from ..sources import writers
@@ -22,10 +22,17 @@ Keys = Sequence[str]
 
 
 def panel_job(lines: DataFrame, master: DataFrame, path: str, scope: str = "year",
-              unit_rules: Sequence[UnitRule] = UNIT_RULES, fmt: str = "parquet") -> DataFrame:
+              unit_rules: Sequence[UnitRule] = UNIT_RULES, fmt: str = "parquet", rejects: Observation | None = None,
+              unreadable: str | None = None) -> DataFrame:
     """Raw lines to the gap-free daily panel, written by year; returns the written table, so
-    summaries and features do not read the lines again."""
-    daily = panel.daily_panel(lines, panel.load_sku_master(master), unit_rules)
+    summaries and features do not read the lines again. `rejects` is filled with the number of lines per
+    reject reason, counted in the pass that aggregates them."""
+    known = panel.load_sku_master(master)
+    if rejects is None:
+        daily = panel.daily_panel(lines, known, unit_rules)
+    else:
+        marked = reject.observed(reject.mark_lines(lines, known, unreadable=unreadable), rejects)
+        daily = cut_lineage(panel.panel_of(reject.good_lines(marked), unit_rules), "daily")
     writers.write_panel(panel.densify_calendar(daily, PANEL_KEYS, scope), path, fmt)
     return lines.sparkSession.read.format(fmt).load(path)
 

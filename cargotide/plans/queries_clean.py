@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..columns import BRAND, CATEGORY, CBM, DATE, LINE_CBM, LINE_QTY, SKU, WAREHOUSE
 from ..functions import cleaning as C
-from ..operators import panel as P
+from ..operators import panel as P, rejects
 from ..operators.history import append_history, upsert
 from ..operators.scoring import run_scores
 from ..operators.stats import encode_categories
@@ -48,6 +48,53 @@ def s2(spark: SparkSession, d: str) -> DataFrame:
     return rows.groupBy(year.alias("file_year")).agg(F.count("*").alias("rows"), r(F.sum("QTY")).alias("qty"))
 
 
+def _messy_files(spark: SparkSession, d: str) -> str:
+    """Raw lines as text files, one folder per warehouse, some with texts that give no value and keys that are missing."""
+    path = scratch_path(spark, "messy")
+    key = F.col("l_orderkey")
+    clock = F.col("l_shipdate") + F.make_dt_interval(hours=(key % 24).cast("int"))
+    raw = S.table(spark, d, "lineitem")
+    text = (F.when(key % 41 == 1, F.lit("soon")).when(key % 41 == 2, F.lit(None)).when(key % 3 == 0, F.date_format(clock, "dd/MM/yyyy hh:mm:ss a"))
+            .when(key % 3 == 1, F.concat(F.date_format(clock + F.make_dt_interval(hours=F.lit(7)), "yyyy-MM-dd'T'HH:mm:ss"), F.lit("+07:00")))
+            .otherwise(F.date_format(clock, "yyyy-MM-dd HH:mm:ss")))
+    sku = F.when(key % 43 == 1, F.lit("none")).when(key % 43 == 2, F.lit(" ")).otherwise(F.col("l_partkey").cast("string"))
+    rows = raw.select(
+        sku.alias(SKU), text.alias(DATE), F.when(key % 47 != 1, F.concat(F.lit("WH"), (F.col("l_suppkey") % 3).cast("string"))).alias(WAREHOUSE),
+        F.lit(None).cast("string").alias(CATEGORY), F.when(key % 53 == 1, F.lit("many")).otherwise(F.col("l_quantity").cast("string")).alias(LINE_QTY),
+        F.lit("1.5").alias(LINE_CBM), F.concat(F.lit("lines_200"), (F.col("l_suppkey") % 3).cast("string")).alias("f"))
+    rows.write.partitionBy("f").option("header", True).csv(path)
+    return path
+
+
+REJECT_SQL = """SELECT SKU, CASE WHEN k % 41 = 1 OR k % 53 = 1 THEN 'unreadable' WHEN k % 41 = 2 THEN 'missing_date' WHEN k % 43 = 2 THEN 'missing_sku'
+    WHEN k % 43 = 1 OR c IS NULL THEN 'unknown_sku' WHEN c = 'OTHER' THEN 'excluded_category' WHEN k % 47 = 1 THEN 'missing_key' END AS reject_reason, d, q
+    FROM (SELECT l_orderkey AS k, CASE WHEN l_orderkey % 43 = 1 THEN 'none' WHEN l_orderkey % 43 = 2 THEN NULL ELSE CAST(l_partkey AS VARCHAR) END AS SKU,
+      m.CATEGORY_MASTER AS c, l_shipdate + to_hours(CAST(l_orderkey % 24 AS BIGINT)) AS d, l_quantity AS q
+      FROM lineitem LEFT JOIN master m ON m.SKU = CAST(l_partkey AS VARCHAR))"""
+
+
+def _marked(spark: SparkSession, d: str) -> DataFrame:
+    lines = R.read_by_prefix(spark, _messy_files(spark, d), "f=lines", [2000, 2001, 2002], source_column=None, unreadable="unreadable")
+    return rejects.mark_lines(lines, S.master(spark, d), ("OTHER",), "unreadable")
+
+
+@query("J1_reject_counts", sql("SELECT reject_reason, count(*) AS lines, count(DISTINCT SKU) AS skus FROM x WHERE reject_reason IS NOT NULL GROUP BY ALL",
+                               "master", extra={"x": REJECT_SQL}))
+def j1_rejects(spark: SparkSession, d: str) -> DataFrame:
+    """Messy text files: every line that the panel cannot use, by reason."""
+    counts = rejects.reject_counts(_marked(spark, d))
+    return counts.withColumn("skus", F.col("skus").cast("bigint"))
+
+
+@query("S2_good_lines_of_messy_files", sql(f"""SELECT CAST(d AS DATE) AS day, count(*) AS rows, {rs('sum(q)')} AS qty, {rs('sum(hour(d))', 0)} AS hours
+    FROM x WHERE reject_reason IS NULL GROUP BY ALL""", "master", extra={"x": REJECT_SQL}))
+def s2_good(spark: SparkSession, d: str) -> DataFrame:
+    """The other lines keep their time of day, from three layouts with and without a zone."""
+    good = rejects.good_lines(_marked(spark, d))
+    return good.groupBy(F.to_date(DATE).alias("day")).agg(F.count("*").alias("rows"), r(F.sum(LINE_QTY)).alias("qty"),
+                                                          r(F.sum(F.hour(DATE)).cast("double"), 0).alias("hours"))
+
+
 @query("S3_prune_files_by_range", sql("""
     SELECT name FROM (SELECT 'Outboundreports_' || strftime(min(ACTUALSHIPDATE), '%Y%m%d') || '_'
         || strftime(max(ACTUALSHIPDATE), '%Y%m%d') || '.csv' AS name,

@@ -3,11 +3,14 @@ missing column fails early."""
 
 from __future__ import annotations
 
+import csv
 import warnings
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Iterator, Sequence
+from contextlib import contextmanager
 from functools import reduce
 from urllib.parse import unquote
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DateType, StringType, StructField, StructType, TimestampNTZType, TimestampType
 
@@ -38,42 +41,99 @@ def list_names(spark: SparkSession, folder: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(path))
 
 
-def _by_header(spark: SparkSession, paths: Sequence[str], options: dict[str, str]) -> dict[tuple[str, ...], list[str]]:
-    """Paths by the column names of their header line; only the head of each file is read."""
+@contextmanager
+def _one_task_per_file(spark: SparkSession) -> Iterator[None]:
+    """Scans planned inside have a task for each file, from its first byte on."""
+    wanted = {"spark.sql.files.maxPartitionBytes": str(1 << 50), "spark.sql.files.openCostInBytes": str(1 << 50)}
+    before = {k: spark.conf.get(k) for k in wanted}
+    for k, v in wanted.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def _first_line(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The first row of a task; nothing more is asked for, so the scan stops there."""
+    for batch in batches:
+        if batch.num_rows:
+            yield batch.slice(0, 1)
+            return
+
+
+def file_heads(spark: SparkSession, paths: Sequence[str], every_line: bool = False) -> DataFrame:
+    """`path, head` (bytes of the first line) of each file that is not empty, from one job whatever the number of
+    files; a task per file stops after its first line. With `every_line` the files are read through and
+    `is_utf8` tells whether all lines are valid UTF-8."""
+    meta = "_metadata.file_path"
+    if not every_line:
+        lines = spark.read.text(list(paths)).select(F.col(meta).alias("path"), F.col("value").cast("binary").alias("head"))
+        return lines.mapInArrow(_first_line, "path string, head binary")
+    lines = spark.read.text(list(paths)).select(F.col(meta).alias("path"), "value", F.col("_metadata.file_block_start").alias("start"),
+                                                F.monotonically_increasing_id().alias("at"))
+    first = F.min_by(F.when(F.col("start") == 0, F.col("value").cast("binary")), F.when(F.col("start") == 0, F.col("at")))
+    return lines.groupBy("path").agg(first.alias("head"), F.bool_and(F.is_valid_utf8("value")).alias("is_utf8"))
+
+
+def _columns(head: bytes, encoding: str, sep: str, quote: str) -> tuple[str, ...]:
+    text = head.decode(encoding, "replace").removeprefix("\ufeff")
+    return tuple(next(csv.reader([text], delimiter=sep, quotechar=quote or None), []))
+
+
+def _by_header(heads: Iterable, options: dict[str, str]) -> dict[tuple[str, ...], list[str]]:
+    """Files by the column names of their header line; one small row per file reaches the driver."""
+    sep, quote = options.get("sep", options.get("delimiter", ",")), options.get("quote", '"')
+    encoding = options.get("encoding", options.get("charset", "utf-8"))
     groups: dict[tuple[str, ...], list[str]] = {}
-    for path in paths:
-        names = spark.read.options(**options).option("header", True).csv(path).columns
-        groups.setdefault(tuple(names), []).append(path)
+    for row in sorted(heads, key=lambda r: r["path"]):
+        groups.setdefault(_columns(bytes(row["head"]), encoding, sep, quote), []).append(unquote(row["path"]))
     return groups
 
 
-def _typed(field: StructField) -> Column:
+def _typed(field: StructField, text: bool = False) -> Column:
     """A column of a CSV file; dates and times are read as text, in mixed layouts."""
     if isinstance(field.dataType, DateType):
         return parse_mixed_date(field.name).alias(field.name)
     if isinstance(field.dataType, (TimestampNTZType, TimestampType)):
         return parse_mixed_timestamp(field.name).cast(field.dataType).alias(field.name)
-    return F.col(f"`{field.name}`")
+    value = F.col(f"`{field.name}`")
+    return F.trim(value).try_cast(field.dataType).alias(field.name) if text and not isinstance(field.dataType, StringType) else value
+
+
+def _unreadable(fields: Iterable[StructField]) -> Column:
+    """Names of the columns whose text is there but does not give a value, comma-joined; null if none."""
+    bad = F.array_compact(F.array(*[F.when((F.trim(F.col(f"`{f.name}`")) != "") & _typed(f, True).isNull(), F.lit(f.name)) for f in fields]))
+    return F.when(F.size(bad) > 0, F.concat_ws(",", bad))
 
 
 def _read(spark: SparkSession, paths: Sequence[str], schema: str, fmt: str, path_column: str | None = None,
-          **options: str) -> DataFrame:
+          unreadable: str | None = None, heads: Iterable | None = None, **options: str) -> DataFrame:
     """The columns of `schema`, for CSV by header name: files may order them differently and have
-    others beside them. `path_column` adds the file of each row."""
+    others beside them. `path_column` adds the file of each row, `unreadable` the names of the columns of a CSV row
+    that hold text which is not of their type (they are null)."""
     own = [] if path_column is None else [F.col("_metadata.file_path").alias(path_column)]
     if fmt != "csv":
-        return spark.read.schema(schema).options(**options).format(fmt).load(list(paths)).select("*", *own)
+        plain = spark.read.schema(schema).options(**options).format(fmt).load(list(paths)).select("*", *own)
+        return plain if unreadable is None else plain.withColumn(unreadable, F.lit(None).cast("string"))
     wanted = StructType.fromDDL(schema)
-    timed = (DateType, TimestampNTZType, TimestampType)
-    kinds = {f.name: StringType() if isinstance(f.dataType, timed) else f.dataType for f in wanted}
+    as_text = (DateType, TimestampNTZType, TimestampType)
+    kinds = {f.name: StringType() if unreadable or isinstance(f.dataType, as_text) else f.dataType for f in wanted}
+    if heads is None:
+        with _one_task_per_file(spark):
+            heads = file_heads(spark, paths).collect()
     parts = []
-    for header, files in _by_header(spark, paths, options).items():
+    for header, files in _by_header(heads, options).items():
         missing = sorted(set(kinds) - set(header))
         if missing:
-            raise ValueError(f"no column {', '.join(missing)} in {', '.join(files)}")
+            raise ValueError(f"no column {', '.join(missing)} in {', '.join(files[:10])}")
         layout = StructType([StructField(c, kinds.get(c, StringType())) for c in header])
         rows = spark.read.schema(layout).options(**options).option("header", True).csv(files)
-        parts.append(rows.select(*[_typed(f) for f in wanted], *own))
+        odd = [] if unreadable is None else [_unreadable([f for f in wanted if not isinstance(f.dataType, StringType)]).alias(unreadable)]
+        parts.append(rows.select(*[_typed(f, unreadable is not None) for f in wanted], *own, *odd))
+    if not parts:
+        raise FileNotFoundError(f"only empty files in {list(paths)[:10]}")
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -158,32 +218,27 @@ SINGLE_BYTE = {"latin-1": "ISO-8859-1", "cp1252": "windows-1252"}
 
 
 def detect_encodings(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """S5. `path, is_utf8` per file, found by Spark line by line: the text source hands over
+    """S5. `path, is_utf8` per file that is not empty, found by Spark line by line: the text source hands over
     the bytes of a line as they are, and each line is tested for valid UTF-8."""
-    lines = spark.read.text(list(paths))
-    return (lines.select(F.col("_metadata.file_path").alias("path"), F.is_valid_utf8("value").alias("ok"))
-            .groupBy("path").agg(F.bool_and("ok").alias("is_utf8")))
+    return file_heads(spark, paths, every_line=True).select("path", "is_utf8")
 
 
 def read_csv_with_encoding(spark: SparkSession, paths: Sequence[str], schema: str,
                            encodings: Sequence[str] = ENCODINGS, **options: str) -> DataFrame:
     """S5. Files that are valid UTF-8 are read as such, the others with the next encoding of
-    the list. Single-byte encodings accept every byte, so a third one is never reached."""
+    the list. Single-byte encodings accept every byte, so a third one is never reached. Encodings and
+    headers come from one job; an encoding shows only in the whole file, which is why it is read through."""
     others = [e for e in encodings if e.lower().replace("_", "-") not in ("utf-8", "utf8")]
-    found = detect_encodings(spark, paths).collect()  # one small row per file
-    groups = {"UTF-8": [unquote(r["path"]) for r in found if r["is_utf8"]]}
-    if others:
-        groups[SINGLE_BYTE.get(others[0], others[0])] = [unquote(r["path"]) for r in found if not r["is_utf8"]]
-    elif any(not r["is_utf8"] for r in found):
+    found = file_heads(spark, paths, every_line=True).collect()  # one small row per file
+    if not others and any(not r["is_utf8"] for r in found):
         raise ValueError("some files are not valid UTF-8 and no other encoding is allowed")
-    parts = [_read(spark, files, schema, "csv", encoding=encoding, **options)
-             for encoding, files in groups.items() if files]
+    groups = {"UTF-8": [r for r in found if r["is_utf8"]]}
+    if others:
+        groups[SINGLE_BYTE.get(others[0], others[0])] = [r for r in found if not r["is_utf8"]]
+    parts = [_read(spark, [], schema, "csv", heads=heads, encoding=encoding, **options) for encoding, heads in groups.items() if heads]
     if not parts:
         raise FileNotFoundError(f"nothing to read in {list(paths)}")
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    return reduce(DataFrame.unionByName, parts)
 
 
 # Run folders and the file of each mode.

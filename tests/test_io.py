@@ -97,3 +97,59 @@ def test_runs(spark, tmp_path):
     assert compare_runs(scores, "run_20250201_000000").first().mae_improvement_pct == pytest.approx(50.0)
     delta = {r.run_id: r.mae_increase_pct for r in mode_delta(scores).collect()}
     assert delta == {"run_20250101_000000": 100.0, "run_20250201_000000": None}
+
+
+def test_headers_of_many_files_take_one_job(spark, tmp_path):
+    orders = ["k,v", "v,k,extra", "extra,k,v"]
+    for n in range(60):
+        head = orders[n % 3]
+        cells = {"k": f"key{n}", "v": str(n), "extra": '"a,b"'}
+        (tmp_path / f"data_{2000 + n}.csv").write_text(head + "\n" + (",".join(cells[c] for c in head.split(",")) + "\n") * 3000)
+    (tmp_path / "data_2060.csv").write_text("")
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("heads", "heads")
+    rows = R.read_years(spark, str(tmp_path), range(2000, 2061), schema="k string, v int")
+    jobs = len(tracker.getJobIdsForGroup("heads"))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert jobs <= 3  # listing many files, then the heads
+    assert rows.count() == 60 * 3000 and rows.filter("k = concat('key', v)").count() == 60 * 3000
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") != str(1 << 50)
+    (tmp_path / "data_2061.csv").write_bytes("v,k,Prix é\n7,x,1\n".encode("latin-1"))
+    assert R.read_years(spark, str(tmp_path), [2061], schema="k string, v int", encoding="ISO-8859-1").first().v == 7
+    assert R.read_years(spark, str(tmp_path), [2061], schema="k string, v int, `Prix é` int", encoding="ISO-8859-1").first()["Prix é"] == 1
+
+
+def test_zones_and_half_days(spark):
+    from cargotide.functions.cleaning import parse_mixed_timestamp
+
+    texts = {"2025-01-15T18:30:00Z": "2025-01-15 18:30:00", "2025-01-15T18:30:00+07:00": "2025-01-15 11:30:00", "2025-01-15 01:00:00-0530": "2025-01-15 06:30:00",
+             "2025-01-15 01:00:00.5+07": "2025-01-14 18:00:00.500000", "15/1/2025 10:00 AM": "2025-01-15 10:00:00", "15/1/2025 12:05:09 am": "2025-01-15 00:05:09",
+             "15/1/2025 12:05 p.m.": "2025-01-15 12:05:00", "1/15/2025 3:07PM": "2025-01-15 15:07:00", "15-01-2025": "2025-01-15 00:00:00", "2025/1/5 7:08": "2025-01-05 07:08:00",
+             "2025-01-15 18:30": "2025-01-15 18:30:00", "pm": None, "": None, "Z": None, "15/15/2025 1:00 PM": None}
+    df = spark.createDataFrame([(t,) for t in texts] + [(None,)], "t string")
+    got = {r.t: r.p for r in df.select("t", parse_mixed_timestamp("t").cast("string").alias("p")).collect()}
+    assert {t: None if p is None else p[:26] for t, p in got.items()} == {**{t: None if p is None else p.rstrip("0").rstrip(".") if "." in p else p for t, p in texts.items()}, None: None}
+
+
+def test_rejects_are_told_apart_and_observed(spark, tmp_path):
+    from pyspark.sql import Observation
+
+    from cargotide.operators import rejects as J
+    from cargotide.plans.jobs import panel_job
+
+    head = "ACTUALSHIPDATE,WHSEID,SKU,CATEGORY,QTY,CUBE_OUT\n"
+    lines = ["2024-05-01 10:00:00,W,1,,2,1", "soon,W,1,,2,1", "2024-05-01,W,1,,x,1", ",W,1,,2,1", "2024-05-01,W,,,2,1", "2024-05-01,W,99,,2,1", "2024-05-01,W,2,,2,1",
+             "2024-05-01,,1,,2,1", "2024-05-02,W, 1 ,,3,", "bad,W,99,,2,1"]
+    (tmp_path / "Outboundreports_20240501_20240531.csv").write_text(head + "\n".join(lines) + "\n")
+    raw = R.read_by_prefix(spark, str(tmp_path), "Outboundreports", [2024], unreadable="unreadable")
+    master = spark.createDataFrame([("1", "A", "DRY"), ("2", "B", "TEST")], "SKU string, BRAND string, CATEGORY string")
+    assert {r.unreadable for r in raw.collect()} == {None, "ACTUALSHIPDATE", "QTY"}
+    known = J.mark_lines(raw, master.withColumnRenamed("CATEGORY", "CATEGORY_MASTER"), unreadable="unreadable")
+    assert {r.reject_reason: r.lines for r in J.reject_counts(known).collect()} == {
+        "unreadable": 3, "missing_date": 1, "missing_sku": 1, "unknown_sku": 1, "excluded_category": 1, "missing_key": 1}
+    counts = Observation("rejects")
+    panel = panel_job(raw, master, str(tmp_path / "panel"), rejects=counts, unreadable="unreadable")
+    assert counts.get == {"lines": 10, "good": 2, "unreadable": 3, "missing_date": 1, "missing_sku": 1, "unknown_sku": 1, "excluded_category": 1, "missing_key": 1}
+    assert panel.agg({"Total QTY": "sum"}).first()[0] == 5.0
+    plain = panel_job(raw.filter("unreadable IS NULL").drop("unreadable"), master, str(tmp_path / "plain"))
+    assert plain.orderBy("ACTUALSHIPDATE").collect() == panel.orderBy("ACTUALSHIPDATE").collect()

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..columns import CBM, DATE, SERIES_KEYS
 from ..functions.cleaning import as_column
+from .ranking import with_positions
 from .series import ordered
 
 Keys = Sequence[str]
@@ -67,9 +69,17 @@ def temporal_split(df: DataFrame, train: float = 0.7, val: float = 0.1, test: fl
 
 def random_split(df: DataFrame, train: float = 0.7, val: float = 0.1, test: float = 0.2, seed: int = 42,
                  keys: Keys = SERIES_KEYS, date: str = DATE) -> DataFrame:
-    """W12. Split by a hash of the row key: the same row always falls on the same side, also
-    when a lost task is run again."""
+    """W12. Exact sizes: the rows in the order of an MD5 of seed, keys and day, the first floor(train * n) of them
+    train, the next floor(val * n) validation. The order is found by range partitions and prefix counts; the
+    same row always falls on the same side, also when a lost task is run again. Rows equal in keys and day are
+    ordered by their other columns."""
     check_ratios(train, val, test)
-    buckets = 1_000_000
-    u = F.pmod(F.xxhash64(F.lit(seed), *[F.col(k) for k in keys], F.col(date)), F.lit(buckets)) / buckets
-    return df.withColumn("split", F.when(u < train, "train").when(u < train + val, "val").otherwise("test"))
+    parts = [F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys] + [F.coalesce(F.col(date).cast("string"), F.lit(""))]
+    mark = F.md5(F.concat_ws("|", F.lit(str(seed)), *parts).cast("binary"))
+    kept = df.columns
+    rest = [F.col(f"`{c}`") for c, t in df.dtypes if c not in (*keys, date) and not t.startswith(("map", "variant"))]
+    rows = with_positions(df.withColumn("_mark", mark), [F.col("_mark"), *[F.col(k) for k in keys], F.col(date), *rest], "_at")
+    n = rows.count()
+    first, second = math.floor(train * n), math.floor(train * n) + math.floor(val * n)
+    split = F.when(F.col("_at") < first, "train").when(F.col("_at") < second, "val").otherwise("test")
+    return rows.withColumn("split", split).select(*[F.col(f"`{c}`") for c in kept], "split")

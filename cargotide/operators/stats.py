@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.types import (BooleanType, DataType, DecimalType, DoubleType, FloatType, TimestampNTZType,
+                               TimestampType)
 
 from ..columns import CATEGORY, CBM, DATE, SERIES_KEYS
 from ..functions.cleaning import as_column
 from .quantiles import quantile_column
+from .ranking import with_positions
 
 Keys = Sequence[str]
 
@@ -49,16 +52,38 @@ def fit_scaler(df: DataFrame, keys: Keys = SERIES_KEYS, value: str = CBM) -> Dat
 
 
 def encode_categories(df: DataFrame, category: str = CATEGORY, out: str = "CATEGORY_ID") -> DataFrame:
-    """A12. The dictionary `category -> id` in sorted order; join it where ids are needed."""
+    """A12. The dictionary `category -> id` in sorted order; join it where ids are needed. Ids are positions
+    found by range partitions and prefix counts, so no task orders all names."""
     names = df.select(category).filter(F.col(category).isNotNull()).distinct()
-    return names.withColumn(out, F.dense_rank().over(Window.orderBy(category)) - 1)
-
-
-def dataset_fingerprint(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """A13. Order-free hash of the rows: equal data in any order and partitioning gives the
-    same value."""
-    h = F.xxhash64(*[as_column(c) for c in columns]).cast("decimal(38,0)")
-    return df.agg(F.count("*").alias("rows"), F.sum(h).alias("fingerprint"))
+    return with_positions(names, [F.col(category)], out).withColumn(out, F.col(out).cast("int"))
+
+
+def _plain_text(c: str, kind: DataType, digits: int) -> Column:
+    """Text of a value that does not depend on the engine: numbers as whole units of the last digit,
+    times as microseconds."""
+    v = as_column(c)
+    if isinstance(kind, (FloatType, DoubleType, DecimalType)):
+        v = F.floor(v.cast("double") * F.lit(10.0 ** digits) + F.lit(0.5)).try_cast("bigint")
+    elif isinstance(kind, TimestampNTZType):
+        v = F.unix_micros(v.cast("timestamp"))
+    elif isinstance(kind, TimestampType):
+        v = F.unix_micros(v)
+    elif isinstance(kind, BooleanType):
+        v = v.cast("int")
+    text = v.cast("string")
+    return F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("-"))
+
+
+def dataset_fingerprint(df: DataFrame, columns: Sequence[str], digits: int = 6) -> DataFrame:
+    """A13. Order-free hash of the rows: equal data in any order and partitioning gives the same
+    value, a repeated or changed row another one. Each row's values are written one after the other with their
+    lengths (a null is `-`), doubles to `digits` decimals, and hashed by MD5; the first 60 bits are summed modulo 2^64.
+    `fingerprint` is that number as text; without rows it is 0."""
+    kinds = {f.name: f.dataType for f in df.schema}
+    row = F.concat(*[_plain_text(c, kinds[c], digits) for c in columns])
+    bits = F.conv(F.substring(F.md5(row.cast("binary")), 1, 15), 16, 10).cast("decimal(38,0)")
+    total = F.coalesce(F.sum(bits), F.lit(0).cast("decimal(38,0)"))
+    return df.agg(F.count("*").alias("rows"), F.pmod(total, F.lit(str(2 ** 64)).cast("decimal(38,0)")).cast("string").alias("fingerprint"))
 
 
 def spike_flags(df: DataFrame, actual: str = "actual", q: float = 0.8, keys: Keys | None = None) -> DataFrame:

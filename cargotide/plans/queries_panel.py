@@ -149,7 +149,17 @@ def a12(spark: SparkSession, d: str) -> DataFrame:
     return rows.groupBy(CATEGORY).agg(F.count("*").alias("rows")).join(stats.encode_categories(rows), CATEGORY)
 
 
-@query("A13_dataset_fingerprint")
+def _text(expr: str) -> str:
+    """SQL: a value with its length, `-` for null."""
+    return f"coalesce(CAST(length(CAST({expr} AS VARCHAR)) AS VARCHAR) || ':' || CAST({expr} AS VARCHAR), '-')"
+
+
+FINGERPRINT_TEXT = " || ".join([_text("epoch_us(ACTUALSHIPDATE)"), *[_text(c) for c in ("WHSEID", "SKU", "CATEGORY")],
+                                *[_text(f"TRY_CAST(floor({c} * 1e6 + 5e-1) AS BIGINT)") for c in ("QTY", "CUBE_OUT")]])
+
+
+@query("A13_dataset_fingerprint", sql(f"""
+    SELECT count(*) AS rows, CAST(sum(CAST(('0x' || md5({FINGERPRINT_TEXT})[1:15]) AS BIGINT)) % 18446744073709551616 AS VARCHAR) AS fingerprint FROM lines""", "lines"))
 def a13(spark: SparkSession, d: str) -> DataFrame:
     return stats.dataset_fingerprint(S.lines(spark, d), [DATE, WAREHOUSE, SKU, CATEGORY, LINE_QTY, LINE_CBM])
 

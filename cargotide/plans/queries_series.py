@@ -157,7 +157,11 @@ def w11(spark: SparkSession, d: str) -> DataFrame:
     return W.temporal_split(S.dense(spark, d)).select(DATE, CATEGORY, "split")
 
 
-@query("W12_random_split")
+@query("W12_random_split", sql("""
+    SELECT CATEGORY, split, count(*) AS rows, min(ACTUALSHIPDATE) AS first_date, max(ACTUALSHIPDATE) AS last_date
+    FROM (SELECT *, CASE WHEN place <= floor(7e-1 * n) THEN 'train' WHEN place <= floor(7e-1 * n) + floor(1e-1 * n) THEN 'val' ELSE 'test' END AS split
+      FROM (SELECT *, count(*) OVER () AS n, row_number() OVER (ORDER BY md5('42|' || CATEGORY || '|' || CAST(ACTUALSHIPDATE AS VARCHAR)), CATEGORY, ACTUALSHIPDATE) AS place
+        FROM dense)) GROUP BY ALL""", "dense"))
 def w12(spark: SparkSession, d: str) -> DataFrame:
     rows = W.random_split(S.dense(spark, d))
     return rows.groupBy(CATEGORY, "split").agg(F.count("*").alias("rows"), F.min(DATE).alias("first_date"),

@@ -169,3 +169,33 @@ def test_festival_of_year_matches_anchor(spark):
     df = spark.createDataFrame([(day("2025-03-01"),), (day("2024-12-31"),)], "d date")
     assert [r.f for r in df.select(L.festival_of_year("d").alias("f")).collect()] == [day("2025-10-06"), day("2024-09-17")]
     assert df.select(F.max("d")).first()[0] == day("2025-03-01")
+
+
+def test_random_split_has_exact_sizes_and_stays(spark):
+    rows = spark.createDataFrame([(f"k{n % 7}" if n % 11 else None, day("2024-01-01"), n) for n in range(1003)], "k string, d date, v int").repartition(5)
+    got = S.random_split(rows, 0.7, 0.1, 0.2, keys=["k"], date="d")
+    assert got.columns == ["k", "d", "v", "split"]
+    sizes = {r.split: r["count"] for r in got.groupBy("split").count().collect()}
+    assert sizes == {"train": 702, "val": 100, "test": 201}
+    again = S.random_split(rows.repartition(2), 0.7, 0.1, 0.2, keys=["k"], date="d")
+    assert got.exceptAll(again).count() == 0
+    other = S.random_split(rows, 0.7, 0.1, 0.2, seed=1, keys=["k"], date="d")
+    assert got.exceptAll(other).count() > 0 and S.random_split(rows.limit(0), keys=["k"], date="d").count() == 0
+
+
+def test_fingerprint_is_order_free_and_sees_every_row(spark):
+    from cargotide.operators.stats import dataset_fingerprint, encode_categories
+
+    data = [(f"a{n}", float(n) / 3, n % 2 == 0, day("2024-01-01")) for n in range(200)] + [(None, None, None, None), ("", 0.0, False, None)]
+    schema = "s string, x double, b boolean, d date"
+
+    def mark(rows, n=3):
+        return dataset_fingerprint(spark.createDataFrame(rows, schema).repartition(n), ["s", "x", "b", "d"]).first().asDict()
+    whole = mark(data)
+    assert whole["rows"] == 202 and whole == mark(data[::-1], 7)
+    for changed in (data + [data[5]], data[1:], data[:-1] + [(None, 0.0, False, None)], [("a0", 0.1, True, day("2024-01-01")), *data[1:]],
+                    [("a", 0.0, True, day("2024-01-01")), *data[1:]]):
+        assert mark(changed)["fingerprint"] != whole["fingerprint"]
+    assert mark([])["rows"] == 0 and mark([])["fingerprint"] == "0"
+    names = spark.createDataFrame([(c,) for c in ["b", "a", None, "c", "a"]], "CATEGORY string")
+    assert {r.CATEGORY: r.CATEGORY_ID for r in encode_categories(names).collect()} == {"a": 0, "b": 1, "c": 2}

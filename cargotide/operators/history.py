@@ -152,11 +152,15 @@ def append_history(existing: DataFrame, new: DataFrame) -> DataFrame:
 
 
 def feature_changes(features: DataFrame, old_run: str, new_run: str) -> DataFrame:
-    """L5. Features added or removed between two runs of a (run, feature) table."""
-    old = features.filter(F.col("run") == old_run).select("feature")
-    new = features.filter(F.col("run") == new_run).select("feature")
-    return (new.exceptAll(old).select("feature", F.lit("added").alias("change"))
-            .unionByName(old.exceptAll(new).select("feature", F.lit("removed").alias("change"))))
+    """L5. Features added or removed between two runs of a (run, feature) table, as often as one run has more of
+    them than the other; both runs are counted in one read."""
+    def of(run: str) -> Column:
+        return F.count(F.when(F.col("run") == run, 1))
+
+    more = (features.filter(F.col("run").isin(old_run, new_run)).groupBy("feature").agg((of(new_run) - of(old_run)).alias("_more"))
+            .filter(F.col("_more") != 0))
+    change = F.when(F.col("_more") > 0, F.lit("added")).otherwise(F.lit("removed"))
+    return more.select("feature", F.explode(F.array_repeat(change, F.abs("_more").cast("int"))).alias("change"))
 
 
 def available(requested: DataFrame, present: DataFrame, on: str) -> DataFrame:

@@ -10,7 +10,7 @@ from ..operators import panel as P, rejects
 from ..operators.history import append_history, upsert
 from ..operators.scoring import run_scores
 from ..operators.stats import encode_categories
-from ..session import scratch_path
+from ..session import cut_lineage, scratch_path
 from ..sources import readers as R, writers as W
 from . import shipments as S
 from .catalog import query, r, rounded
@@ -189,6 +189,22 @@ def s10(spark: SparkSession, d: str) -> DataFrame:
     return rounded(upsert(existing, new, ["Year", CATEGORY, "Month"], "Year"), "predicted", "actual")
 
 
+@query("S10_upsert_partitions", sql(f"""
+    SELECT coalesce(n."Year", o."Year") AS "Year", coalesce(n.CATEGORY, o.CATEGORY) AS CATEGORY, coalesce(n."Month", o."Month") AS "Month",
+      {rs('coalesce(n.predicted, o.predicted)')} AS predicted, {rs('o.actual')} AS actual
+    FROM (SELECT "Year", CATEGORY, "Month", CASE WHEN "Month" % 2 = 0 THEN predicted * 2 END AS predicted FROM m WHERE "Year" >= 2000) n
+    FULL JOIN (SELECT * FROM m WHERE "Year" <= 2000) o ON n."Year" = o."Year" AND n.CATEGORY = o.CATEGORY AND n."Month" = o."Month" """, "fc", extra={"m": MONTH_SQL}))
+def s10_partitions(spark: SparkSession, d: str) -> DataFrame:
+    """Stored months up to 2000 in a folder per year; new months from 2000 on replace and add one folder each."""
+    path = scratch_path(spark, "months")
+    months = cut_lineage(forecast_frame(spark, d).groupBy(F.year("date").alias("Year"), CATEGORY, F.month("date").alias("Month")).agg(
+        F.sum("predicted").alias("predicted"), F.sum("actual").alias("actual")), "months")
+    months.filter(F.col("Year") <= 2000).write.partitionBy("Year").parquet(path)
+    new = months.filter(F.col("Year") >= 2000).select("Year", CATEGORY, "Month", F.when(F.col("Month") % 2 == 0, F.col("predicted") * 2).alias("predicted"))
+    W.upsert_partitions(spark, path, new, ["Year", CATEGORY, "Month"], ["Year"])
+    return rounded(spark.read.parquet(path), "predicted", "actual")
+
+
 @query("S11_append_history", sql(f"""
     SELECT CATEGORY, "Year", {rs('mae')} AS mae, NULL::DOUBLE AS rmse FROM s WHERE "Year" < 1999
     UNION ALL SELECT CATEGORY, "Year", {rs('mae')} AS mae, {rs('rmse')} AS rmse FROM s WHERE "Year" >= 1999""", "fc",

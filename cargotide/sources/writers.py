@@ -56,6 +56,24 @@ def upsert_table(spark: SparkSession, path: str, new: DataFrame, keys: Sequence[
     return target
 
 
+def upsert_partitions(spark: SparkSession, path: str, new: DataFrame, keys: Sequence[str], partition_by: Sequence[str],
+                      required: str | None = None, fmt: str = "parquet") -> None:
+    """S10. Merge into a table that is stored by `partition_by`, part of the keys. Only the folders that new rows fall into
+    are read, merged and replaced (when all tasks have finished); the others keep their files, and readers keep the
+    path. So the work follows the new rows, not the table. Existing rows without the required key leave when
+    their folder is merged. New rows may lack columns of the table and add none; a null in `partition_by` fails."""
+    if not set(partition_by) <= set(keys):
+        raise ValueError(f"{partition_by} are not all keys")
+    existing = spark.read.format(fmt).load(path)
+    added = sorted(set(new.columns) - set(existing.columns))
+    if added:
+        raise ValueError(f"the table has no column {', '.join(added)}")
+    known = new.withColumns({c: F.coalesce(c, F.raise_error(F.lit(f"null in {c}"))).cast(existing.schema[c].dataType) for c in partition_by})
+    touched = existing.join(known.select(*partition_by).distinct(), list(partition_by), "left_semi")
+    merged = upsert(touched, known, keys, required).select(*[F.col(f"`{c}`").cast(existing.schema[c].dataType).alias(c) for c in existing.columns])
+    _write(merged.repartition(*partition_by), path, fmt, partition_by, "overwrite")
+
+
 def append_rows(spark: SparkSession, path: str, new: DataFrame, fmt: str = "parquet") -> None:
     """S11. Append history rows in the existing column layout."""
     existing = spark.read.format(fmt).load(path)

@@ -153,3 +153,22 @@ def test_rejects_are_told_apart_and_observed(spark, tmp_path):
     assert panel.agg({"Total QTY": "sum"}).first()[0] == 5.0
     plain = panel_job(raw.filter("unreadable IS NULL").drop("unreadable"), master, str(tmp_path / "plain"))
     assert plain.orderBy("ACTUALSHIPDATE").collect() == panel.orderBy("ACTUALSHIPDATE").collect()
+
+
+def test_upsert_replaces_only_the_folders_of_new_rows(spark, tmp_path):
+    path = tmp_path / "t"
+    spark.createDataFrame([(y, k, "n", float(k)) for y in (2022, 2023, 2024) for k in range(3)], "y int, k int, n string, v double").write.partitionBy("y").parquet(str(path))
+    files = {y: sorted(p.name for p in (path / f"y={y}").glob("part-*")) for y in (2022, 2023, 2024)}
+    new = spark.createDataFrame([(2023, 1, 10.0), (2023, 2, None), (2023, 9, 90.0), (2025, 1, 1.0)], "y int, k int, v double")
+    W.upsert_partitions(spark, str(path), new, ["y", "k"], ["y"])
+    got = {(r.y, r.k): (r.n, r.v) for r in spark.read.parquet(str(path)).collect()}
+    assert got == {**{(y, k): ("n", float(k)) for y in (2022, 2023, 2024) for k in range(3)}, (2023, 1): ("n", 10.0), (2023, 9): (None, 90.0), (2025, 1): (None, 1.0)}
+    after = {y: sorted(p.name for p in (path / f"y={y}").glob("part-*")) for y in (2022, 2023, 2024)}
+    assert after[2022] == files[2022] and after[2024] == files[2024] and after[2023] != files[2023]
+    W.upsert_partitions(spark, str(path), new.limit(0), ["y", "k"], ["y"])
+    assert spark.read.parquet(str(path)).count() == len(got)
+    with pytest.raises(Exception, match="null in y"):
+        W.upsert_partitions(spark, str(path), spark.createDataFrame([(None, 1, 1.0)], "y int, k int, v double"), ["y", "k"], ["y"])
+    with pytest.raises(ValueError):
+        W.upsert_partitions(spark, str(path), new.withColumn("extra", new.v), ["y", "k"], ["y"])
+    assert spark.read.parquet(str(path)).count() == len(got)

@@ -70,7 +70,7 @@ def test_quantile_fit_covers_its_share(spark, q):
     rng = np.random.default_rng(8)
     rows = [(k, 1, [float(x)], float(5 + 3 * x + (1 + x) * rng.exponential()), 1.0) for k in ("a", "b") for x in rng.uniform(0, 4, 2000)]
     df = spark.createDataFrame(rows, SCHEMA)
-    model = G.fit_reweighted(df, ["k"], 1, G.quantile_loss(q, 0.1))
+    model = G.fit_reweighted(df, ["k"], 1, G.quantile_loss(q, 0.2), rounds=12)
     share = G.predict_grouped(model, df).groupBy("k").agg(F.avg((F.col("label") < F.col("predicted")).cast("double")).alias("s")).collect()
     assert all(abs(r.s - q) < 0.02 for r in share)
 
@@ -80,8 +80,8 @@ def test_asymmetric_and_huber_fits(spark):
     y = rng.normal(size=3000)
     rows = [("a", 1, [float(x)], float(v), 1.0) for x, v in zip(rng.normal(size=3000), y)]
     df = spark.createDataFrame(rows, SCHEMA)
-    level = G.fit_reweighted(df, [], 1, G.asymmetric_squares(over=4.0, under=1.0), rounds=10).pooled[0]
+    level = G.fit_reweighted(df, [], 1, G.asymmetric_squares(over=4.0, under=1.0), rounds=6).pooled[0]
     err = y - level  # an expectile: weighted errors of both sides balance
     assert level < -0.3 and abs(4 * -err[err < 0].sum() - err[err > 0].sum()) / 3000 < 0.02
     wild = spark.createDataFrame([*rows, *[("a", 1, [0.0], 1e4, 1.0)] * 30], SCHEMA)
-    assert abs(G.fit_reweighted(wild, [], 1, G.huber_loss(1.0)).pooled[0]) < 0.1 < G.fit_grouped(wild, [], 1).pooled[0]
+    assert abs(G.fit_reweighted(wild, [], 1, G.huber_loss(1.0), rounds=8).pooled[0]) < 0.1 < G.fit_grouped(wild, [], 1).pooled[0]

@@ -12,7 +12,7 @@ candidates, and among overlapping ones: names after a title, keys and passwords,
 account numbers, street addresses, and numbers that fail a base check or are written loosely.
 
 Weights are trained here by gradient ascent on the conditional likelihood of segmentations, on a
-bounded sample (`train_rows` documents with a candidate) whose segmentations come from checks that
+bounded sample (`train_rows` documents with a candidate, the first `text_candidates` of each) whose segmentations come from checks that
 a candidate's characters carry themselves (checksums, ranges, lengths, key words).
 """
 
@@ -36,6 +36,18 @@ BASE = {
     "card": re.compile(r"[0-9]([\x20-]?[0-9])+"),
     "phone": re.compile(r"\+[0-9][\x20().0-9-]+[0-9]"),
 }
+#: The same matches without trying a run of digits again from each of its digits, nor giving parts of a run back: a
+#: match takes its last run whole, so none starts after a digit.
+LINEAR = {
+    "ip": re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}"),
+    "card": re.compile(r"[0-9](?:[\x20-]?[0-9])++"),
+    "phone": BASE["phone"],
+}
+#: An email is found from its @: the domain to the right, then all characters of the local part to the left.
+LOCAL = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-"
+DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
+#: Characters without which a kind has no match.
+FIRST = {"email": "@", "phone": "+"}
 #: Patterns of the further candidates, and the type each one proposes.
 MORE = {
     "secret": re.compile(r"(?:password|passwd|pwd|secret|token|api[_-]?key)\s?[=:]\s?[^\s,;]{6,64}|\bAKIA[0-9A-Z]{16}\b|\bgh[pousr]_[A-Za-z0-9]{20,40}\b|\bsk-[A-Za-z0-9_-]{20,60}", re.I),
@@ -83,16 +95,25 @@ def passes(kind: str, span: str) -> bool:
     return True
 
 
+def base_matches(kind: str, text: str) -> Iterator[tuple[int, int]]:
+    """The spans that `BASE[kind].finditer` yields, in time linear in the text also on long runs of one character class."""
+    if kind != "email":
+        yield from (m.span() for m in LINEAR[kind].finditer(text))
+        return
+    low, at = 0, text.find("@")
+    while at >= 0:
+        domain = DOMAIN.match(text, at + 1)
+        start = low + len(text[low:at].rstrip(LOCAL)) if domain else at
+        if start < at:
+            yield start, domain.end()
+        low = domain.end() if start < at else at + 1
+        at = text.find("@", low)
+
+
 def base_spans(text: str) -> list[tuple[int, int, int]]:
     """(kind, start, end) of all base spans, by kind and start."""
-    found = []
-    for k, kind in enumerate(KINDS):
-        if kind == "email" and "@" not in text or kind == "phone" and "+" not in text:
-            continue
-        for m in BASE[kind].finditer(text):
-            if passes(kind, m[0]):
-                found.append((k, m.start(), m.end()))
-    return found
+    return [(k, start, end) for k, kind in enumerate(KINDS) if FIRST.get(kind, "") in text
+            for start, end in base_matches(kind, text) if passes(kind, text[start:end])]
 
 
 def well_formed(kind: str, span: str) -> bool:
@@ -212,11 +233,12 @@ def labelled(text: str, cands: list) -> list[int]:
     return chosen
 
 
-def fit(texts: list[str], rounds: int = 60, rate: float = 0.5, penalty: float = 0.01) -> Field:
-    """Gradient ascent on the penalised conditional log-likelihood of the training segmentations."""
+def fit(texts: list[str], rounds: int = 60, rate: float = 0.5, penalty: float = 0.01, text_candidates: int = 200) -> Field:
+    """Gradient ascent on the penalised conditional log-likelihood of the training segmentations. Of each training text
+    the first `text_candidates` candidates count; the search itself has no such bound."""
     rows = []
     for text in texts:
-        cands = sorted(candidates(text)[:200], key=lambda c: c[1])
+        cands = sorted(candidates(text)[:text_candidates], key=lambda c: c[1])
         if cands:
             gold = np.zeros(len(cands))
             gold[labelled(text, cands)] = 1

@@ -3,8 +3,8 @@
 All rolling word k-grams of all documents are joined to the positions of the same k-gram in the
 license templates. A hit at document position p and template position t votes for the diagonal
 p - t. Votes are aggregated per (document, template, diagonal); neighbouring diagonals, which a
-missing or added word makes of one, are merged; merged spans are verified by the share of the
-template's k-grams they cover in order.
+missing or added word makes of one, are merged around each diagonal; merged spans are verified by the
+share of the template's k-grams they cover in the template's order.
 
 The k-gram text itself is joined along with its hash, so equal hashes of different words never
 vote. The template table has one row per template word and is the parameter's size.
@@ -42,70 +42,77 @@ def document_words(text: Column) -> Column:
 
 
 def grams(words: Column, k: int) -> Column:
-    """The k-gram that starts at each word; null for the last k - 1 words, so that an array
-    tells the number of words too."""
+    """pos and gram of the k-gram that starts at each word."""
     def at(word: Column, i: Column) -> Column:
-        return F.when(i <= F.size(words) - k, F.concat_ws(" ", word, *[F.get(words, i + j) for j in range(1, k)]))
-    return F.transform(words, at)
+        return F.struct(i.alias("pos"), F.concat_ws(" ", word, *[F.get(words, i + j) for j in range(1, k)]).alias("gram"))
+    return F.slice(F.transform(words, at), F.lit(1), F.greatest(F.size(words) - (k - 1), F.lit(0)))
 
 
 def template_positions(spark: SparkSession, phrases: tuple, templates: tuple, k: int) -> DataFrame:
-    """One row per k-gram of each template: template, label, base, n_grams, at, gram, hash."""
-    listed = [(i, text, label, i < len(phrases)) for i, (text, label) in enumerate((*phrases, *templates))]
-    rows = spark.createDataFrame(listed, "template int, words string, label string, base boolean")
-    words = F.split("words", " ")
-    return (rows.select("template", "label", "base", (F.size(words) - k + 1).alias("n_grams"), F.posexplode(grams(words, k)).alias("at", "gram"))
-            .where(F.col("gram").isNotNull()).withColumn("hash", F.xxhash64("gram")))
+    """One row per gram of each template: template, label, base, n_grams, at, own (its words), hash. Grams have k words,
+    or all of a shorter template."""
+    listed = [(i, label, i < len(phrases), words, min(k, len(words)))
+              for i, (words, label) in enumerate((text.split(), label) for text, label in (*phrases, *templates))]
+    rows = [(i, label, base, len(words) - n + 1, at, " ".join(words[at:at + n]))
+            for i, label, base, words, n in listed for at in range(len(words) - n + 1)]
+    table = spark.createDataFrame(rows, "template int, label string, base boolean, n_grams int, at int, own string")
+    return table.withColumn("hash", F.xxhash64("own"))
+
+
+def in_order(parts: Column) -> Column:
+    """Most grams of a template that follow each other in the text in the template's order; parts are merged diagonals
+    (diagonal, ats). Hits are taken by template position; each continues the longest run that ends before it."""
+    hits = F.array_sort(F.flatten(F.transform(parts, lambda d: F.transform(
+        d["ats"], lambda t: F.struct(t.alias("t"), (d["diagonal"] + t).alias("p"))))))
+
+    def longer(runs: Column, hit: Column) -> Column:
+        before = F.filter(runs, lambda r: (r["t"] < hit["t"]) & (r["p"] < hit["p"]))
+        best = F.coalesce(F.array_max(F.transform(before, lambda r: r["n"])), F.lit(0)) + 1
+        return F.array_append(runs, F.struct(hit["t"].alias("t"), hit["p"].alias("p"), best.alias("n")))
+    none = F.array().cast("array<struct<t: int, p: int, n: int>>")
+    return F.aggregate(hits, none, longer, lambda runs: F.array_max(F.transform(runs, lambda r: r["n"])))
 
 
 def license_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, phrases: tuple = PHRASES,
-                   templates: tuple = TEMPLATES, k: int = 2, reach: int = 3, cover: float = 0.85) -> DataFrame:
+                   templates: tuple = TEMPLATES, k: int = 2, reach: int = 6, cover: float = 0.85) -> DataFrame:
     """Per document: doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score.
 
-    A base phrase stands where one diagonal has all its k-grams. A template is found where diagonals
-    at most `reach` apart, merged, cover at least `cover` of its k-grams; `score` is the best
-    cover found (1 with a base phrase, 0 with nothing). Null and empty texts have no words, no labels and
-    score 0; rows that repeat id and text get a row each; other columns are ignored.
+    A base phrase stands where one diagonal has all its grams. A template is found where the diagonals
+    at most `reach` from one of them together cover at least `cover` of its grams in the template's order; `score` is the
+    best cover found (1 with a base phrase, 0 with nothing). Phrases of fewer than k words are one gram. Null and empty
+    texts have no words, no labels and score 0; rows that repeat id and text get a row each; other columns are ignored.
     """
     spark = docs.sparkSession
     table = template_positions(spark, phrases, templates, k)
-    if sum(len(t.split()) for t, _ in (*phrases, *templates)) <= BROADCAST_ROWS:
+    lengths = [len(t.split()) for t, _ in (*phrases, *templates)]
+    if sum(lengths) <= BROADCAST_ROWS:
         table = F.broadcast(table)
     text = F.col(f"`{text_col}`")
     rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.xxhash64(text).alias("text_key"), document_words(text).alias("words"))
-    placed = rows.select("doc_id", "text_key", F.posexplode_outer(grams(F.col("words"), k)).alias("pos", "gram"))
-    placed = placed.withColumn("hash", F.xxhash64("gram"))
-    # the words past the last k-gram (or the empty text) carry the number of words and of equal rows
-    hits = (placed.join(table.withColumnRenamed("gram", "own"), "hash", "left")
-            .where(F.col("gram").isNull() | (F.col("gram") == F.col("own")))
-            .select("doc_id", "text_key", "template", "label", "base", "n_grams", "pos", "at",
-                    F.when(F.col("gram").isNull(), F.coalesce(F.col("pos") + 1, F.lit(0))).alias("n_words"),
-                    (F.col("pos") - F.col("at")).alias("diagonal")))
+    # one more entry without a gram carries the number of words and of equal rows
+    last = F.array(F.struct(F.lit(None).cast("int").alias("pos"), F.lit(None).cast("string").alias("gram")))
+    sizes = sorted({min(k, n) for n in lengths})
+    placed = rows.select("doc_id", "text_key", F.size("words").alias("n_words"),
+                         F.explode(F.concat(*[grams(F.col("words"), n) for n in sizes], last)).alias("g"))
+    placed = placed.select("doc_id", "text_key", "n_words", "g.pos", "g.gram").withColumn("hash", F.xxhash64("gram"))
+    hits = (placed.join(table, "hash", "left").where(F.col("gram").isNull() | (F.col("gram") == F.col("own")))
+            .withColumn("diagonal", F.col("pos") - F.col("at")))
     doc = ("doc_id", "text_key")
     votes = hits.groupBy(*doc, "template", "label", "base", "n_grams", "diagonal").agg(
-        F.collect_set("at").alias("ats"), F.min("pos").alias("first"), F.max("pos").alias("last"),
-        F.max("n_words").alias("n_words"), F.count(F.lit(1)).alias("n_rows"))
+        F.collect_set("at").alias("ats"), F.max("n_words").alias("n_words"), F.count(F.lit(1)).alias("n_rows"))
     votes = votes.repartition(*doc)
-    # neighbouring diagonals: runs in the order of position whose diagonals and places stay close
-    order = Window.partitionBy(*doc, "template").orderBy("first", "diagonal")
-    apart = (F.abs(F.col("diagonal") - F.lag("diagonal").over(order)) > reach) | (
-        F.col("first") - F.lag("last").over(order) > F.col("n_grams"))
-    merged = (votes.withColumn("run", F.sum(F.coalesce(apart, F.lit(True)).cast("int")).over(order))
-              .groupBy(*doc, "template", "label", "base", "n_grams", "run")
-              .agg(F.array_distinct(F.flatten(F.collect_list("ats"))).alias("ats"), F.collect_list(F.struct("diagonal", F.size("ats").alias("n"))).alias("diagonals"),
-                   F.max("n_words").alias("n_words"), F.max("n_rows").alias("n_rows"), F.min("first").alias("first"), F.max("last").alias("last")))
-    full = F.transform(F.filter("diagonals", lambda d: d["n"] == F.col("n_grams")), lambda d: d["diagonal"])
-    share = F.size("ats") / F.col("n_grams")
-    # verified: enough of the template in a span that is not much longer than the template
-    near = (share >= cover) & (F.col("last") - F.col("first") < F.col("n_grams") * 2)
-    found = merged.select(
-        *doc, "label", "base", "n_words", "n_rows", F.when(F.col("base"), full).alias("starts"),
-        F.when(~F.col("base") & near, share).alias("near"))
-    starts = F.flatten(F.collect_list("starts"))
-    per_doc = found.groupBy(*doc).agg(
-        F.coalesce(F.max("n_words"), F.lit(0)).cast("long").alias("n_words"), F.max(F.when(F.col("label").isNull(), F.col("n_rows"))).alias("n_rows"),
-        starts.alias("starts"), F.collect_set(F.when(F.size("starts") > 0, F.col("label"))).alias("base_set"),
-        F.collect_set(F.when(F.col("near").isNotNull(), F.col("label"))).alias("near_set"), F.max("near").alias("near"))
+    # neighbouring diagonals: all within reach of a diagonal, whatever else of the template stands between them
+    near = Window.partitionBy(*doc, "template").orderBy("diagonal").rangeBetween(-reach, reach)
+    merged = votes.withColumn("parts", F.when(~F.col("base"), F.collect_list(F.struct("diagonal", "ats")).over(near)))
+    needed = F.col("n_grams") * cover
+    likely = F.size(F.array_distinct(F.flatten(F.transform("parts", lambda d: d["ats"])))) >= needed
+    merged = merged.withColumn("parts", F.when(likely, F.col("parts"))).withColumn("share", in_order(F.col("parts")))
+    starts = F.collect_list(F.when(F.col("base") & (F.size("ats") == F.col("n_grams")), F.col("diagonal")))
+    found = (F.col("share") >= needed) & F.col("label").isNotNull()
+    per_doc = merged.groupBy(*doc).agg(
+        F.max("n_words").cast("long").alias("n_words"), F.max(F.when(F.col("label").isNull(), F.col("n_rows"))).alias("n_rows"),
+        starts.alias("starts"), F.collect_set(F.when(F.col("base") & (F.size("ats") == F.col("n_grams")), F.col("label"))).alias("base_set"),
+        F.collect_set(F.when(found, F.col("label"))).alias("near_set"), F.max(F.when(found, F.col("share") / F.col("n_grams"))).alias("near"))
     out = per_doc.select(
         "doc_id", "n_words", F.size("starts").cast("long").alias("n_base"), F.array_min("starts").cast("long").alias("first_word"),
         F.array_max("starts").cast("long").alias("last_word"), F.concat_ws(",", F.array_sort("base_set")).alias("base_labels"),

@@ -42,10 +42,10 @@ def document_words(text: Column) -> Column:
 
 
 def grams(words: Column, k: int) -> Column:
-    """pos and gram of the k-gram that starts at each word."""
+    """The k-gram that starts at each word; null for the last k - 1 words."""
     def at(word: Column, i: Column) -> Column:
-        return F.struct(i.alias("pos"), F.concat_ws(" ", word, *[F.get(words, i + j) for j in range(1, k)]).alias("gram"))
-    return F.slice(F.transform(words, at), F.lit(1), F.greatest(F.size(words) - (k - 1), F.lit(0)))
+        return F.when(i <= F.size(words) - k, F.concat_ws(" ", word, *[F.get(words, i + j) for j in range(1, k)]))
+    return F.transform(words, at)
 
 
 def template_positions(spark: SparkSession, phrases: tuple, templates: tuple, k: int) -> DataFrame:
@@ -89,12 +89,14 @@ def license_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         table = F.broadcast(table)
     text = F.col(f"`{text_col}`")
     rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.xxhash64(text).alias("text_key"), document_words(text).alias("words"))
-    # one more entry without a gram carries the number of words and of equal rows
-    last = F.array(F.struct(F.lit(None).cast("int").alias("pos"), F.lit(None).cast("string").alias("gram")))
+    rows = rows.withColumn("n_words", F.size("words"))  # before the explode, which would else carry all words with each entry
     sizes = sorted({min(k, n) for n in lengths})
-    placed = rows.select("doc_id", "text_key", F.size("words").alias("n_words"),
-                         F.explode(F.concat(*[grams(F.col("words"), n) for n in sizes], last)).alias("g"))
-    placed = placed.select("doc_id", "text_key", "n_words", "g.pos", "g.gram").withColumn("hash", F.xxhash64("gram"))
+    # an entry per size and word, and one more without a gram that carries the number of words and of equal rows
+    entries = F.concat(*[grams(F.col("words"), n) for n in sizes], F.array(F.lit(None).cast("string")))
+    placed = rows.select("doc_id", "text_key", "n_words", F.posexplode(entries).alias("entry", "gram"))
+    placed = (placed.where(F.col("gram").isNotNull() | (F.col("entry") == F.col("n_words") * len(sizes)))
+              .withColumn("pos", F.when(F.col("gram").isNotNull(), F.col("entry") % F.col("n_words"))).drop("entry")
+              .withColumn("hash", F.xxhash64("gram")))
     hits = (placed.join(table, "hash", "left").where(F.col("gram").isNull() | (F.col("gram") == F.col("own")))
             .withColumn("diagonal", F.col("pos") - F.col("at")))
     doc = ("doc_id", "text_key")

@@ -5,9 +5,10 @@ agree. Documents of a source are ordered by key; the source's token budget is fi
 epochs first (each takes every document once) and then by the documents with the smallest keys,
 found by prefix sums.
 
-A source may hold a third of all rows, so its order is not made in one task: keys fall into
-`buckets` slices per source, slice totals are summed first (one small row each), and only inside
-a slice are rows ordered. Sources are ranked and their targets found on one row per source.
+A source may hold a third of all rows, so its order is not made in one task: keys fall into slices,
+`buckets` for each factor e, slice totals are summed first (one small row each), and only inside
+a slice are rows ordered. Whatever the qualities, a slice holds at most about 1 / (e * buckets) of a source,
+since that is the largest density of the logarithm of an exponential key of any scale. Sources are ranked and their targets found on one row per source.
 """
 
 from __future__ import annotations
@@ -74,9 +75,8 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: i
 
 
 def _bucketed(rows: DataFrame, buckets: int) -> DataFrame:
-    """Slices in the order of the keys: 1 - exp(-key) is in [0, 1) and grows with the key."""
-    slot = F.floor((1 - F.exp(-F.col("key"))) * buckets)
-    return rows.withColumn("bucket", F.least(slot, F.lit(buckets - 1)).cast("int"))
+    """Slices in the order of the keys, `buckets` for each factor e: a quality only shifts them."""
+    return rows.withColumn("bucket", F.floor(F.log(F.greatest("key", F.lit(1e-300))) * buckets).cast("int"))
 
 
 def _slices(keyed: DataFrame, weights: tuple[int, ...], most: int) -> DataFrame:

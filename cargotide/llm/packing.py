@@ -4,9 +4,10 @@
 2. Documents are dealt to shards of about `shard_tokens` tokens by hash. One small row per
    (shard, source) gives each source's share of all tokens and, by prefix sums over the shards,
    the deficit with which each source enters a shard.
-3. Each shard is packed on its own: in every window of `window` tokens a source may send its
-   share plus its deficit; it sends whole documents while its credit lasts and carries what is
-   over or missing to the next window, and the last window's rest to the next shard.
+3. Each shard is packed on its own: in every window of `window` tokens, one sequence unless said
+   otherwise, a source may send its share plus its deficit; it sends whole documents while its credit
+   lasts and carries what is over or missing to the next window, and the last window's rest to the next
+   shard. Shares are the sources' own, or `targets`; then proportions hold until a source has no more.
 4. The stream of a shard is cut into sequences of `length` tokens; only a shard's last sequence
    is padded, so padding is at most `length` tokens in `shard_tokens`.
 """
@@ -33,6 +34,8 @@ SPECIAL_ID = 50256
 BLANKS = r"\t\n\v\f\r\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 #: A blank beside another kind of blank or at an end of the text.
 ODD_BLANKS = rf"[ ][ {BLANKS}]|[{BLANKS}][ ]|^[ ]|[ ]$"
+#: Shards whose sums are taken together before the spans are ordered.
+SPAN = 4096
 #: Characters of texts that are encoded together.
 BATCH_CHARS = 6_000_000
 
@@ -117,8 +120,15 @@ class Encoder:
         return out
 
 
-def tokenized(docs: DataFrame, id_col: str, text_col: str, source_col: str, files: tuple[str, str | None, str | None]) -> DataFrame:
-    """doc_id, source, n_tokens, ids (little-endian unsigned 16-bit)."""
+def id_type(json_file: str) -> str:
+    """Little-endian unsigned type of 16 bits, or of 32 if the tokenizer file has larger ids."""
+    from tokenizers import Tokenizer
+
+    return "<u2" if max(Tokenizer.from_file(json_file).get_vocab().values(), default=0) < 2 ** 16 else "<u4"
+
+
+def tokenized(docs: DataFrame, id_col: str, text_col: str, source_col: str, files: tuple[str, str | None, str | None], kind: str = "<u4") -> DataFrame:
+    """doc_id, source, n_tokens, ids (of type `kind`)."""
     rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{source_col}`").alias("source"), F.col(f"`{text_col}`").alias("text"))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -128,7 +138,7 @@ def tokenized(docs: DataFrame, id_col: str, text_col: str, source_col: str, file
                 ids = encoder.batch(as_text(batch.column(2)))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0), batch.column(1), pa.array([len(x) for x in ids], pa.int64()),
-                     pa.array([x.astype("<u2").tobytes() for x in ids], pa.binary())], ["doc_id", "source", "n_tokens", "ids"])
+                     pa.array([x.astype(kind).tobytes() for x in ids], pa.binary())], ["doc_id", "source", "n_tokens", "ids"])
 
     kinds = rows.schema
     return rows.mapInArrow(encode, f"doc_id {kinds['doc_id'].dataType.simpleString()}, source {kinds['source'].dataType.simpleString()}, n_tokens long, ids binary")
@@ -142,6 +152,10 @@ def round_robin(source: np.ndarray, size: np.ndarray, share: dict, deficit: dict
     credit = {s: float(deficit.get(s, 0.0)) for s in queues}
     names, order = sorted(queues), []
     while names:
+        # windows in which nobody could send are skipped at once
+        idle = min((-credit[s] // (share[s] * window) for s in names if share.get(s, 0.0) > 0), default=0.0)
+        for s in names if idle > 0 else ():
+            credit[s] += idle * share.get(s, 0.0) * window
         for s in names:
             credit[s] += share.get(s, 0.0) * window
             queue = queues[s]
@@ -167,29 +181,44 @@ def cut_points(size: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, n
     return np.searchsorted(ends, begin, side="right"), begin, end
 
 
+def earlier_sums(rows: DataFrame, values: list[str], keys: list[str] = []) -> DataFrame:
+    """Each of `values` becomes its sum over the earlier shards (of the same keys). Spans of shards are summed
+    first, so no task orders all shards."""
+    spanned = rows.withColumn("span", F.floor(F.col("shard") / SPAN))
+    by_span = Window.partitionBy(*(keys or [F.lit(0)])).orderBy("span").rowsBetween(Window.unboundedPreceding, -1)
+    spans = spanned.groupBy(*keys, "span").agg(*[F.sum(v).alias(v) for v in values])
+    spans = spans.select(*keys, "span", *[F.coalesce(F.sum(v).over(by_span), F.lit(0)).alias(f"{v}_before") for v in values])
+    inside = Window.partitionBy(*keys, "span").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
+    sums = {v: (F.col(f"{v}_before") + F.coalesce(F.sum(v).over(inside), F.lit(0))).cast("long") for v in values}
+    return spanned.join(spans, [*keys, "span"]).select("shard", *keys, *[sums[v].alias(v) for v in values])
+
+
 def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", *,
-         tokenizer_files: tuple[str, str | None, str | None], length: int = LENGTH, window: int = 65_536,
-         shard_tokens: int = 1_000_000) -> DataFrame:
+         tokenizer_files: tuple[str, str | None, str | None], length: int = LENGTH, window: int = LENGTH,
+         shard_tokens: int = 1_000_000, targets: dict[str | None, float] | None = None) -> DataFrame:
     """Per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
 
     Null and empty texts are packed as their end id alone; a null source is a queue of its own;
     repeated rows are packed each; very long texts are cut over many sequences. `tokenizer_files`:
-    tokenizer JSON, rank file of the same vocabulary and its split pattern (or None, None).
+    tokenizer JSON, rank file of the same vocabulary and its split pattern (or None, None). `targets`: weight of
+    each source in the sequences; sources that are not named come last in their shard.
     """
-    tokens = stored(tokenized(docs, id_col, text_col, source_col, tokenizer_files), "op7-tokens")
+    kind_of_ids = id_type(tokenizer_files[0])
+    tokens = stored(tokenized(docs, id_col, text_col, source_col, tokenizer_files, kind_of_ids), "op7-tokens")
     total = tokens.agg(F.sum("n_tokens")).first()[0] or 0
     shards = max(1, -(-total // shard_tokens))
     dealt = tokens.withColumn("shard", F.pmod(F.xxhash64("doc_id", F.when(F.col("doc_id").isNull(), F.crc32("ids"))), F.lit(shards)))
     dealt = dealt.withColumn("queue", F.coalesce(F.concat(F.lit("s"), F.col("source").cast("string")), F.lit("n")))
     parts = stored(dealt.groupBy("shard", "queue").agg(F.sum("n_tokens").alias("n")), "op7-parts")
-    shares = small(stored(parts.groupBy("queue").agg((F.sum("n") / F.lit(float(max(total, 1)))).alias("share")), "op7-shares"))
-    totals = parts.groupBy("shard").agg(F.sum("n").alias("shard_n"))
-    before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)  # one row per shard
-    ahead = F.sum("shard_n").over(before)
-    first = F.sum(F.ceil(F.col("shard_n") / length)).over(before)
-    totals = stored(totals.select("shard", F.coalesce(ahead, F.lit(0)).alias("ahead"), F.coalesce(first, F.lit(0)).alias("first_sequence")), "op7-totals")
-    earlier = Window.partitionBy("queue").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
-    plan = (parts.withColumn("sent", F.coalesce(F.sum("n").over(earlier), F.lit(0))).join(small(totals), "shard").join(shares, "queue")
+    sizes = parts.groupBy("queue").agg((F.sum("n") / F.lit(float(max(total, 1)))).alias("share"))
+    if targets is not None:
+        whole = sum(targets.values()) or 1.0
+        given = [F.when(F.col("queue") == F.lit("n" if name is None else f"s{name}"), float(w) / whole) for name, w in targets.items()]
+        sizes = sizes.withColumn("share", F.coalesce(*given, F.lit(0.0)))
+    shares = small(stored(sizes, "op7-shares"))
+    totals = parts.groupBy("shard").agg(F.sum("n").alias("ahead")).withColumn("first_sequence", F.ceil(F.col("ahead") / length))
+    totals = stored(earlier_sums(totals, ["ahead", "first_sequence"]), "op7-totals")
+    plan = (earlier_sums(parts.withColumnRenamed("n", "sent"), ["sent"], ["queue"]).join(small(totals), "shard").join(shares, "queue")
             .groupBy("shard", "first_sequence").agg(F.map_from_entries(F.collect_list(F.struct("queue", F.struct(
                 "share", (F.col("share") * F.col("ahead") - F.col("sent")).alias("deficit"))))).alias("queues")))
     plan = stored(plan, "op7-plan")
@@ -200,7 +229,7 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source
         size = rows["n_tokens"].to_numpy()
         order = round_robin(rows["queue"].to_numpy(), size, {k: v[0] for k, v in queues.items()}, {k: v[1] for k, v in queues.items()}, window)
         size = size[order]
-        stream = np.frombuffer(b"".join(rows["ids"].iloc[order]), "<u2").astype("<u4")
+        stream = np.frombuffer(b"".join(rows["ids"].iloc[order]), kind_of_ids).astype("<u4")
         which, begin, end = cut_points(size, length)
         raw = memoryview(stream.tobytes())
         starts = np.cumsum(size) - size

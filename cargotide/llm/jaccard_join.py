@@ -44,7 +44,7 @@ PART, WHOLE = 80, 100
 #: Shingles that go last in the global order: the most frequent ones of a sample of documents. The
 #: order steers only the work; every order gives the same links.
 SAMPLE_EVERY, OFTEN, MOST_FREQUENT = 32, 3, 100_000
-BATCH_CHARS = 6_000_000
+BATCH_CHARS = 1_000_000
 #: Buckets of a sketch, by the size of its set. A sketch with a count of 255 or more is never pruned.
 LEAST_BUCKETS, MOST_BUCKETS = 64, 8192
 
@@ -115,8 +115,9 @@ def sets_table(docs: DataFrame, order, k: int) -> DataFrame:
 
     def derive(batches):
         for whole in batches:
+            known = set()
             for batch in by_size(whole, 1, BATCH_CHARS):
-                n, digest, firsts, sketches, known = [], [], [], [], set()
+                n, digest, firsts, sketches = [], [], [], []
                 for keys in shingle_sets(as_text(batch.column(1)), order.value, k):
                     key = xxhash.xxh3_128_digest(keys.tobytes())
                     n.append(len(keys))
@@ -127,6 +128,7 @@ def sets_table(docs: DataFrame, order, k: int) -> DataFrame:
                     known.add(key)
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(digest, pa.binary()),
                                                   pa.array(firsts, pa.binary()), pa.array(sketches, pa.binary())], ["doc_id", "n", "set_key", "boundary", "sketch"])
+            pa.default_memory_pool().release_unused()
     return stored(docs.mapInArrow(derive, "doc_id long, n long, set_key binary, boundary binary, sketch binary"), "op3-sets")
 
 

@@ -37,7 +37,7 @@ ODD_BLANKS = rf"[ ][ {BLANKS}]|[{BLANKS}][ ]|^[ ]|[ ]$"
 #: Shards whose sums are taken together before the spans are ordered.
 SPAN = 4096
 #: Characters of texts that are encoded together.
-BATCH_CHARS = 6_000_000
+BATCH_CHARS = 2_000_000
 
 
 class Encoder:
@@ -139,6 +139,7 @@ def tokenized(docs: DataFrame, id_col: str, text_col: str, source_col: str, file
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0), batch.column(1), pa.array([len(x) for x in ids], pa.int64()),
                      pa.array([x.astype(kind).tobytes() for x in ids], pa.binary())], ["doc_id", "source", "n_tokens", "ids"])
+            pa.default_memory_pool().release_unused()
 
     kinds = rows.schema
     return rows.mapInArrow(encode, f"doc_id {kinds['doc_id'].dataType.simpleString()}, source {kinds['source'].dataType.simpleString()}, n_tokens long, ids binary")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, functions as F
@@ -105,24 +105,46 @@ ZONE = r"(?<=:\d{2})(\.\d+)?\s*(Z|z|[+-]\d{2}:?\d{2}|[+-]\d{2})$"
 HALF_DAY = r"(?i)(?<=\d)\s*([ap])\.?m\.?$"
 
 
+# What a text must look like for a layout to fit; a layout is only tried on such texts, since a failed try costs an exception.
+MONTH_NUMBER = r"0*(?:[1-9]|1[0-2])"
+SHAPES = {YEAR_FIRST: rf"^\+?\d{{4,}}/{MONTH_NUMBER}/\d", DAY_FIRST: rf"^\d+/{MONTH_NUMBER}/\+?\d{{4,}}(?: |$)",
+          MONTH_FIRST: rf"^{MONTH_NUMBER}/\d+/\+?\d{{4,}}(?: |$)"}
+
+
+def bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """`body` of a value that is computed once for a row, however often the body uses it."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
 def parse_mixed_timestamp(value: str | Column, dayfirst: bool = True) -> Column:
     """S6. Wall-clock time of a text: year first, else day before month (or the other way round), the
     other order where that cannot be; one or two digits, `-` or `/`, blank or `T`, time of day and
     fraction optional. A time with a zone (`Z`, `+07:00`) becomes UTC, `AM` and `PM` are understood.
     Nothing fits gives null."""
-    whole = F.trim(as_column(value))
-    zone = F.regexp_extract(whole, ZONE, 2)
-    local = F.when(zone == "", whole).otherwise(F.regexp_replace(whole, ZONE, "$1"))
-    half = F.lower(F.regexp_extract(local, HALF_DAY, 1))
-    text = F.translate(F.when(half == "", local).otherwise(F.regexp_replace(local, HALF_DAY, "")), "-T", "/ ")
-    order = (DAY_FIRST, MONTH_FIRST) if dayfirst else (MONTH_FIRST, DAY_FIRST)
-    clock = F.coalesce(*[F.try_to_timestamp(text, F.lit(f + TIME_OF_DAY)) for f in (YEAR_FIRST, *order)]).cast("timestamp_ntz")
-    hour = F.hour(clock)
-    moved = F.when((half == "p") & (hour < 12), 12).when((half == "a") & (hour == 12), -12).otherwise(0)
-    digits = F.regexp_replace(zone, "[^0-9]", "")
-    minutes = (F.coalesce(F.substring(digits, 1, 2).try_cast("int"), F.lit(0)) * 60 + F.coalesce(F.substring(digits, 3, 2).try_cast("int"), F.lit(0)))
-    ahead = F.when(F.startswith(zone, F.lit("-")), -minutes).otherwise(minutes)
-    return (clock + F.make_dt_interval(hours=moved, mins=-ahead)).cast("timestamp_ntz")
+    order = (YEAR_FIRST, DAY_FIRST, MONTH_FIRST) if dayfirst else (YEAR_FIRST, MONTH_FIRST, DAY_FIRST)
+
+    def moved(clock: Column, half: Column, zone: Column) -> Column:
+        hour = F.hour(clock)
+        hours = F.when((half == "p") & (hour < 12), 12).when((half == "a") & (hour == 12), -12).otherwise(0)
+        digits = F.rpad(F.regexp_replace(zone, "[^0-9]", ""), 4, "0")  # always a number: a cast that fails is an exception too
+        minutes = F.substring(digits, 1, 2).cast("int") * 60 + F.substring(digits, 3, 2).cast("int")
+        ahead = F.when(F.startswith(zone, F.lit("-")), -minutes).otherwise(minutes)
+        return F.when((half == "") & (zone == ""), clock).otherwise((clock + F.make_dt_interval(hours=hours, mins=-ahead)).cast("timestamp_ntz"))
+
+    def clock_of(text: Column) -> Column:
+        return F.coalesce(*[F.when(text.rlike(SHAPES[f]), F.try_to_timestamp(text, F.lit(f + TIME_OF_DAY))) for f in order]).cast("timestamp_ntz")
+
+    def by_half(local: Column, zone: Column) -> Column:
+        def parsed(half: Column) -> Column:
+            text = F.translate(F.when(half == "", local).otherwise(F.regexp_replace(local, HALF_DAY, "")), "-T", "/ ")
+            return bound(bound(text, clock_of), lambda clock: moved(clock, half, zone))
+        return bound(F.lower(F.regexp_extract(local, HALF_DAY, 1)), parsed)
+
+    def by_zone(whole: Column) -> Column:
+        return bound(F.regexp_extract(whole, ZONE, 2), lambda zone: bound(
+            F.when(zone == "", whole).otherwise(F.regexp_replace(whole, ZONE, "$1")), lambda local: by_half(local, zone)))
+
+    return bound(F.trim(as_column(value)), by_zone)
 
 
 def parse_mixed_date(value: str | Column, dayfirst: bool = True,

@@ -5,12 +5,10 @@ from __future__ import annotations
 
 import csv
 import warnings
-from collections.abc import Iterable, Iterator, Sequence
-from contextlib import contextmanager
+from collections.abc import Iterable, Sequence
 from functools import reduce
 from urllib.parse import unquote
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DateType, StringType, StructField, StructType, TimestampNTZType, TimestampType
 
@@ -41,40 +39,16 @@ def list_names(spark: SparkSession, folder: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(path))
 
 
-@contextmanager
-def _one_task_per_file(spark: SparkSession) -> Iterator[None]:
-    """Scans planned inside have a task for each file, from its first byte on."""
-    wanted = {"spark.sql.files.maxPartitionBytes": str(1 << 50), "spark.sql.files.openCostInBytes": str(1 << 50)}
-    before = {k: spark.conf.get(k) for k in wanted}
-    for k, v in wanted.items():
-        spark.conf.set(k, v)
-    try:
-        yield
-    finally:
-        for k, v in before.items():
-            spark.conf.set(k, v)
-
-
-def _first_line(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The first row of a task; nothing more is asked for, so the scan stops there."""
-    for batch in batches:
-        if batch.num_rows:
-            yield batch.slice(0, 1)
-            return
-
-
 def file_heads(spark: SparkSession, paths: Sequence[str], every_line: bool = False) -> DataFrame:
     """`path, head` (bytes of the first line) of each file that is not empty, from one job whatever the number of
-    files; a task per file stops after its first line. With `every_line` the files are read through and
-    `is_utf8` tells whether all lines are valid UTF-8."""
-    meta = "_metadata.file_path"
-    if not every_line:
-        lines = spark.read.text(list(paths)).select(F.col(meta).alias("path"), F.col("value").cast("binary").alias("head"))
-        return lines.mapInArrow(_first_line, "path string, head binary")
-    lines = spark.read.text(list(paths)).select(F.col(meta).alias("path"), "value", F.col("_metadata.file_block_start").alias("start"),
+    files. Large files are read in splits, and only those that begin a file give a row. With `every_line`, `is_utf8`
+    tells whether all lines are valid UTF-8."""
+    lines = spark.read.text(list(paths)).select(F.col("_metadata.file_path").alias("path"), "value", F.col("_metadata.file_block_start").alias("start"),
                                                 F.monotonically_increasing_id().alias("at"))
-    first = F.min_by(F.when(F.col("start") == 0, F.col("value").cast("binary")), F.when(F.col("start") == 0, F.col("at")))
-    return lines.groupBy("path").agg(first.alias("head"), F.bool_and(F.is_valid_utf8("value")).alias("is_utf8"))
+    if not every_line:
+        lines = lines.where("start = 0")
+    first = F.min_by(F.when(F.col("start") == 0, F.col("value").cast("binary")), F.when(F.col("start") == 0, F.col("at"))).alias("head")
+    return lines.groupBy("path").agg(first, *([F.bool_and(F.is_valid_utf8("value")).alias("is_utf8")] if every_line else []))
 
 
 def _columns(head: bytes, encoding: str, sep: str, quote: str) -> tuple[str, ...]:
@@ -102,9 +76,9 @@ def _typed(field: StructField, text: bool = False) -> Column:
     return F.trim(value).try_cast(field.dataType).alias(field.name) if text and not isinstance(field.dataType, StringType) else value
 
 
-def _unreadable(fields: Iterable[StructField]) -> Column:
-    """Names of the columns whose text is there but does not give a value, comma-joined; null if none."""
-    bad = F.array_compact(F.array(*[F.when((F.trim(F.col(f"`{f.name}`")) != "") & _typed(f, True).isNull(), F.lit(f.name)) for f in fields]))
+def _unreadable(texts: dict[str, str]) -> Column:
+    """Names of the columns whose text (by column of the value) is there but gave no value, comma-joined; null if none."""
+    bad = F.array_compact(F.array(*[F.when((F.trim(F.col(text)) != "") & F.col(f"`{name}`").isNull(), F.lit(name)) for name, text in texts.items()]))
     return F.when(F.size(bad) > 0, F.concat_ws(",", bad))
 
 
@@ -121,8 +95,7 @@ def _read(spark: SparkSession, paths: Sequence[str], schema: str, fmt: str, path
     as_text = (DateType, TimestampNTZType, TimestampType)
     kinds = {f.name: StringType() if unreadable or isinstance(f.dataType, as_text) else f.dataType for f in wanted}
     if heads is None:
-        with _one_task_per_file(spark):
-            heads = file_heads(spark, paths).collect()
+        heads = file_heads(spark, paths).collect()
     parts = []
     for header, files in _by_header(heads, options).items():
         missing = sorted(set(kinds) - set(header))
@@ -130,8 +103,13 @@ def _read(spark: SparkSession, paths: Sequence[str], schema: str, fmt: str, path
             raise ValueError(f"no column {', '.join(missing)} in {', '.join(files[:10])}")
         layout = StructType([StructField(c, kinds.get(c, StringType())) for c in header])
         rows = spark.read.schema(layout).options(**options).option("header", True).csv(files)
-        odd = [] if unreadable is None else [_unreadable([f for f in wanted if not isinstance(f.dataType, StringType)]).alias(unreadable)]
-        parts.append(rows.select(*[_typed(f, unreadable is not None) for f in wanted], *own, *odd))
+        if unreadable is None:
+            parts.append(rows.select(*[_typed(f) for f in wanted], *own))
+            continue
+        # values first, then what their texts gave: each text is read once
+        texts = {f.name: f"_text{k}" for k, f in enumerate(wanted) if not isinstance(f.dataType, StringType)}
+        values = rows.select(*[_typed(f, True) for f in wanted], *own, *[F.col(f"`{name}`").alias(text) for name, text in texts.items()])
+        parts.append(values.withColumn(unreadable, _unreadable(texts)).drop(*texts.values()))
     if not parts:
         raise FileNotFoundError(f"only empty files in {list(paths)[:10]}")
     return reduce(DataFrame.unionByName, parts)

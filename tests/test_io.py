@@ -172,3 +172,32 @@ def test_upsert_replaces_only_the_folders_of_new_rows(spark, tmp_path):
     with pytest.raises(ValueError):
         W.upsert_partitions(spark, str(path), new.withColumn("extra", new.v), ["y", "k"], ["y"])
     assert spark.read.parquet(str(path)).count() == len(got)
+
+
+def test_each_text_is_parsed_once(spark, tmp_path):
+    """Values and their `unreadable` names come from one parse; layouts are only tried on texts of their shape."""
+    from cargotide.functions.cleaning import SHAPES
+
+    (tmp_path / "Outboundreports_20240101_20240131.csv").write_text(
+        "ACTUALSHIPDATE,WHSEID,SKU,CATEGORY,QTY,CUBE_OUT\n13/01/2024 07:00:00 PM,W,1,DRY,many,1\n01/13/2024,W,2,DRY,1,1\n2024-01-13T19:00:00+07:00,W,3,DRY,1,1\n"
+        "32/01/2024,W,4,DRY,1,1\nsoon,W,5,DRY,1,1\n,W,6,DRY,1,1\n")
+    rows = R.read_by_prefix(spark, str(tmp_path), "Outboundreports", [2024], source_column=None, unreadable="bad")
+    plan = rows.select("SKU", "ACTUALSHIPDATE", "QTY", "bad")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("gettimestamp") == len(SHAPES)
+    got = {r.SKU: (str(r.ACTUALSHIPDATE), r.bad) for r in rows.collect()}
+    assert got == {"1": ("2024-01-13 19:00:00", "QTY"), "2": ("2024-01-13 00:00:00", None), "3": ("2024-01-13 12:00:00", None),
+                   "4": ("None", "ACTUALSHIPDATE"), "5": ("None", "ACTUALSHIPDATE"), "6": ("None", None)}
+
+
+def test_heads_of_files_in_splits(spark, tmp_path):
+    """The first line is found where a file is read in several splits, without a Python worker."""
+    (tmp_path / "a.csv").write_text("x,y\n" + "1,2\n" * 5000)
+    (tmp_path / "b.csv").write_text("y,x\n3,4\n")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2000")
+    try:
+        heads = R.file_heads(spark, [str(tmp_path / n) for n in ("a.csv", "b.csv")])
+        assert "MapInArrow" not in heads._jdf.queryExecution().executedPlan().toString()
+        assert {bytes(r.head).decode() for r in heads.collect()} == {"x,y", "y,x"} and heads.count() == 2
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)

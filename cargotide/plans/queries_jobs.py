@@ -85,7 +85,7 @@ def forecast_scores(spark: SparkSession, d: str) -> DataFrame:
     """Fit a line per category on everything before 2001, forecast two months, apply the rules, score."""
     from .queries_features import ONE, before
 
-    rows = S.dense(spark, d)
+    rows = S.stored_dense(spark, d)
     out = J.forecast_job(spark, before(rows), rows, S.calendar(spark), "2001-01-01", "2001-02-28", anchors=S.ANCHORS,
                          features=ONE, shrink=0.0, least_rows=0)
     scores = accuracy_by(out)
@@ -97,7 +97,7 @@ def forecast_with_features(spark: SparkSession, d: str) -> DataFrame:
     """All calendar and series features, brands shrunk to the pooled model; brands without history share out
     their category's forecast. Totals by brand and month."""
     keys = [CATEGORY, BRAND]
-    rows = S.dense(spark, d, keys)
+    rows = S.stored_dense(spark, d, keys)
     known = rows.filter((F.col(DATE) < F.lit("2001-01-01").cast("date")) & (F.col(BRAND) != "Brand#13"))
     out = J.forecast_job(spark, known, rows, S.calendar(spark), "2001-01-01", "2001-02-28", keys=keys, anchors=S.ANCHORS,
                          features=J.model_features(S.calendar(spark), S.ANCHORS), stride=28, wanted=rows.select(*keys))

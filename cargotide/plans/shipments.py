@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..columns import BRAND, CATEGORY, CBM, DATE, LINE_CBM, LINE_QTY, PANEL_KEYS, QTY, SKU, WAREHOUSE
 from ..functions.cleaning import UnitRule
 from ..operators.panel import daily_panel, densify_calendar, load_sku_master
+from ..session import cut_lineage
 from ..sources.calendars import holiday_calendar
 from .stand_in_calendar import ANCHORS, CALENDAR_TEXT
 
@@ -79,9 +80,14 @@ def dense(spark: SparkSession, sf_dir: str, keys=(CATEGORY,), measures=(CBM,)) -
     return densify_calendar(daily(spark, sf_dir, keys), keys, measures=measures)
 
 
+def stored_dense(spark: SparkSession, sf_dir: str, keys=(CATEGORY,), measures=(CBM,)) -> DataFrame:
+    """`dense`, written once: a job that takes its history, its actuals and its keys from it reads the lines once."""
+    return cut_lineage(dense(spark, sf_dir, keys, measures), "dense")
+
+
 def calendar(spark: SparkSession) -> DataFrame:
     return holiday_calendar(spark, CALENDAR_TEXT)
 
 
 __all__ = ["ANCHORS", "BRAND", "CATEGORY", "CBM", "DATE", "QTY", "RULES", "calendar", "daily", "dense", "lines", "master",
-           "panel", "raw_master", "table"]
+           "panel", "raw_master", "stored_dense", "table"]

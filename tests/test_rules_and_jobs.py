@@ -104,3 +104,23 @@ def test_attach_actuals_modes(spark):
     assert null == {1: (3.0, 2.0), 2: (None, None)}
     with pytest.raises(ValueError):
         H.attach_actuals(f, a, missing="drop")
+
+
+@pytest.mark.parametrize("name", ["forecast_with_features", "forecast_scores"])
+def test_forecast_queries_read_the_lines_once(spark, monkeypatch, name):
+    """History, actuals and wanted keys come from one stored table, not from the lines again."""
+    from cargotide.plans import queries_jobs as Q
+
+    class Stop(Exception):
+        pass
+
+    given = []
+
+    def job(session, train, actuals, *args, wanted=None, **options):
+        given.extend(df for df in (train, actuals, wanted) if df is not None)
+        raise Stop
+
+    monkeypatch.setattr(Q.J, "forecast_job", job)
+    with pytest.raises(Stop):
+        getattr(Q, name)(spark, "/root/testdata/sf0.001")
+    assert len(given) >= 2 and not any("lineitem" in path for df in given for path in df.inputFiles())

@@ -25,6 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from .common import as_text, by_size, mixed, shingles, stored, word_hashes, words
@@ -35,6 +36,8 @@ WORDS = 50
 BANDS = 6
 PART, WHOLE = 80, 100
 BATCH_CHARS = 6_000_000
+#: Links that are verified beside one copy of a kept document.
+LINKS = 256
 #: Gap inside a passage, and shingles by which places of near passages may shift.
 DRIFT = 12
 
@@ -74,9 +77,80 @@ def compact_windows(hashes: np.ndarray, starts: np.ndarray, least: int) -> tuple
     return tuple(np.concatenate(x) for x in zip(*found))
 
 
-#: An open cell waits for its class at `deal`, its key; a closed one has its key, and its link unless it is the head.
-CELL = "deal long, key long, doc long, s int, e int, band int, to long, ts int, te int"
-CLOSED = "key long, doc long, s int, e int, band int, to long, ts int, te int"
+#: Rows of integers travel as blobs of one kind and bucket: open cells wait for their class in the bucket of their key; cells that met
+#: another document and links are dealt by their document.
+PACKED = "bucket int, kind int, n int, data binary"
+OPEN, MET, LINK = 0, 1, 2
+KEY_BITS, DOC_BITS = 10, 8
+#: Rows that a task takes together from whole buckets; more than MOST in one bucket are taken in parts. Shingles that it lays out at a time.
+ROWS, MOST, LAID_OUT = 400_000, 1_600_000, 600_000
+
+
+def packed(columns: list[np.ndarray]) -> bytes:
+    """Integers of equal length, compressed: the first column by differences, the others from their smallest, all by byte places."""
+    x = np.stack(columns)
+    base = x.min(1)
+    base[0] = x[0, 0]
+    x[0, 1:] = x[0, 1:] - x[0, :-1]
+    x[0, 0] = 0
+    x[1:] -= base[1:, None]
+    places = np.ascontiguousarray(x.astype("<i8").view(np.uint8).reshape(*x.shape, 8).transpose(0, 2, 1))
+    return base.astype("<i8").tobytes() + pa.Codec("zstd").compress(places, asbytes=True)
+
+
+def unpacked(data: bytes, n: int, width: int) -> np.ndarray:
+    """The columns of `packed`, one below the other."""
+    places = pa.Codec("zstd").decompress(data[8 * width:], decompressed_size=8 * width * n, asbytes=True)
+    x = np.frombuffer(places, np.uint8).reshape(width, 8, n).transpose(0, 2, 1).copy().view("<i8").reshape(width, n)
+    x[0] = np.cumsum(x[0])
+    return x + np.frombuffer(data[:8 * width], "<i8")[:, None]
+
+
+def blobs(kind: int, bucket: np.ndarray, columns: list[np.ndarray]) -> pa.RecordBatch:
+    """One row for each bucket; the columns are ordered by bucket."""
+    first = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])[:len(bucket)])
+    last = np.append(first[1:], len(bucket))
+    columns = [x.astype(np.int64) for x in columns]
+    data = [packed([x[i:j] for x in columns]) for i, j in zip(first, last)]
+    return pa.RecordBatch.from_arrays(
+        [pa.array(bucket[first].astype(np.int32)), pa.array(np.full(len(first), kind, np.int32)), pa.array((last - first).astype(np.int32)),
+         pa.array(data, pa.binary())], ["bucket", "kind", "n", "data"])
+
+
+def by_doc(kind: int, columns: list[np.ndarray]) -> pa.RecordBatch:
+    bucket = (mixed(columns[0].astype(np.uint64)) >> np.uint64(64 - DOC_BITS)).astype(np.int64)
+    order = np.lexsort((columns[2], columns[1], columns[0], bucket))
+    return blobs(kind, bucket[order], [x[order] for x in columns])
+
+
+def gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[int, np.ndarray]]:
+    """Columns by kind of sorted blobs, whole buckets together until they hold ROWS rows. Blobs of more than MOST rows are
+    unpacked once for each part of their first column's values, so that equal ones still meet."""
+    width = {OPEN: 5, MET: 5, LINK: 6}
+
+    def parts(held, n):
+        of = np.uint64(-(-n // MOST))
+        for part in range(int(of)):
+            out = {}
+            for kind, blob, rows in held:
+                x = unpacked(blob, rows, width[kind])
+                out.setdefault(kind, []).append(x[:, mixed(x[0].astype(np.uint64)) % of == part] if of > 1 else x)
+            joined = {k: np.concatenate(x, 1) for k, x in out.items()}
+            yield {k: x for k, x in joined.items() if x.shape[1]}
+
+    held, size, last = [], 0, None
+    for batch in batches:
+        for bucket, kind, n, data in zip(*(x.to_pylist() for x in batch.columns)):
+            if bucket != last and size >= ROWS:
+                yield from parts(held, size)
+                held, size = [], 0
+            held.append((kind, data, n))
+            size, last = size + n, bucket
+    yield from parts(held, size)
+
+
+def dealt(rows: DataFrame) -> DataFrame:
+    return rows.repartition("bucket").sortWithinPartitions("bucket")
 
 
 def class_links(key: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -93,33 +167,45 @@ def class_links(key: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return several, np.concatenate([at[other], at[more]]), np.concatenate([first[other], before[more]])
 
 
-def closed_cells(key, doc, s, e, band) -> tuple[pa.RecordBatch, np.ndarray]:
-    """Cells of classes with several documents (heads and links), and which cells are in such classes."""
+def closed(key, doc, band, s, e) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """Of cells ordered by key, document and start those in classes with several documents: (doc, band, s, e, key),
+    and their links: (doc, to, s, e, ts, te)."""
     several, at, to = class_links(key, doc)
-    heads = np.flatnonzero(several & ~np.isin(np.arange(len(key)), at))
-    pick, target = np.concatenate([heads, at]), np.concatenate([heads, to])
-    none = np.arange(len(pick)) < len(heads)
-    ints = [pa.array(x[pick].astype(np.int32)) for x in (s, e, band)]
-    return pa.RecordBatch.from_arrays(
-        [pa.array(key[pick]), pa.array(doc[pick]), *ints, pa.array(doc[target], mask=none),
-         *[pa.array(x[target].astype(np.int32), mask=none) for x in (s, e)]], ["key", "doc", "s", "e", "band", "to", "ts", "te"]), several
+    return [x[several] for x in (doc, band, s, e, key)], [doc[at], doc[to], s[at], e[at], s[to], e[to]]
 
 
-def local_cells(key, doc, s, e, band) -> Iterator[pa.RecordBatch]:
+def local_cells(key, doc, band, s, e, keep_cells: bool) -> Iterator[pa.RecordBatch]:
     """Classes inside one batch are closed here; of each class the first document's cells stay open."""
     if not len(key):
         return
     order = np.lexsort((s, doc, key))
-    key, doc, s, e, band = (x[order] for x in (key, doc, s, e, band))
-    done, _ = closed_cells(key, doc, s, e, band)
-    deal = mixed((done.column(1).to_numpy() * 31 + done.column(2).to_numpy()).astype(np.uint64)).astype(np.int64)
-    yield pa.RecordBatch.from_arrays([pa.array(deal), *done.columns], ["deal", *done.schema.names])
+    key, doc, band, s, e = (x[order] for x in (key, doc, band, s, e))
+    met, links = closed(key, doc, band, s, e)
+    deal = key[:1] >> (64 - KEY_BITS)
+    for kind, cols in ((MET, met), (LINK, links)) if keep_cells else ((LINK, links),):
+        if len(cols[0]):
+            order = np.lexsort((cols[2], cols[1], cols[0]))
+            yield blobs(kind, np.repeat(deal, len(order)), thin(kind, [x[order] for x in cols]))
     new = np.concatenate([[True], key[1:] != key[:-1]])
     own = doc == doc[np.maximum.accumulate(np.where(new, np.arange(len(key)), 0))]
-    n = int(own.sum())
-    yield pa.RecordBatch.from_arrays(
-        [pa.array(key[own]), pa.nulls(n, pa.int64()), pa.array(doc[own]), *[pa.array(x[own].astype(np.int32)) for x in (s, e, band)],
-         pa.nulls(n, pa.int64()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.int32())], ["deal", *done.schema.names])
+    cols = [x[own] for x in (key, doc, band, s, e)]
+    yield blobs(OPEN, cols[0] >> (64 - KEY_BITS), thin(OPEN, cols))
+
+
+def thin(kind: int, cols: list[np.ndarray]) -> list[np.ndarray]:
+    """Ends as lengths, places in the other document as diagonals."""
+    if kind == LINK:
+        doc, to, s, e, ts, te = cols
+        return [doc, to, s, e - s, ts - s, te - ts]
+    return [*cols[:3], cols[3], cols[4] - cols[3]] if kind == OPEN else [cols[0], cols[1], cols[2], cols[3] - cols[2], cols[4]]
+
+
+def whole(kind: int, cols: np.ndarray) -> list[np.ndarray]:
+    """What `thin` was given."""
+    if kind == LINK:
+        doc, to, s, n, diagonal, m = cols
+        return [doc, to, s, s + n, s + diagonal, s + diagonal + m]
+    return [*cols[:3], cols[3], cols[3] + cols[4]] if kind == OPEN else [cols[0], cols[1], cols[2], cols[2] + cols[3], cols[4]]
 
 
 def runs_of(key: np.ndarray, place: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -143,10 +229,11 @@ def minima(value: np.ndarray, starts: np.ndarray, f: int, least: int) -> tuple[n
 
 def band_cells(docs: DataFrame, bands: int, least: int, k: int) -> DataFrame:
     def derive(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for batch in by_size(whole, 1, BATCH_CHARS):
+        for table in batches:
+            for batch in by_size(table, 1, BATCH_CHARS):
                 value, starts = sequences(as_text(batch.column(1)), k)
                 ids = batch.column(0).to_numpy()
+                found = []
                 for band in range(bands):
                     place, low = minima(value, starts, 2 * band, least)
                     _, high = minima(value, starts, 2 * band + 1, least)
@@ -154,70 +241,88 @@ def band_cells(docs: DataFrame, bands: int, least: int, k: int) -> DataFrame:
                     row = np.searchsorted(starts, place, side="right") - 1
                     a, b = runs_of(key, place, row)
                     base = starts[row[a]]
-                    yield from local_cells(key[a], ids[row[a]], place[a] - base, place[b] - base, np.full(len(a), band))
-    return docs.mapInArrow(derive, CELL)
+                    found.append((key[a], ids[row[a]], np.full(len(a), band), place[a] - base, place[b] - base))
+                yield from local_cells(*(np.concatenate(x) for x in zip(*found)), True)
+    return docs.mapInArrow(derive, PACKED)
 
 
-def whole_groups(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[list[np.ndarray]]:
-    """Columns of the sorted batches, cut only between groups of equal values of `column`."""
-    rest = None
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        cols = [x.to_numpy(zero_copy_only=False) for x in batch.columns]
-        cols = cols if rest is None else [np.concatenate(x) for x in zip(rest, cols)]
-        cut = np.searchsorted(cols[column], cols[column][-1])
-        rest = [x[cut:] for x in cols]
-        if cut:
-            yield [x[:cut] for x in cols]
-    if rest is not None:
-        yield rest
-
-
-def closed(cells: DataFrame) -> DataFrame:
-    """Cells that meet another document, with their links; what is closed already passes."""
+def closed_classes(cells: DataFrame, keep_cells: bool) -> DataFrame:
+    """Links of the classes, dealt by document, and their cells if wanted; what is closed already passes."""
     def star(batches):
-        def opened():
-            for batch in batches:
-                is_open = batch.column(1).is_null()
-                ready.append(batch.filter(batch.column(1).is_valid()).select(list(range(1, 9))))
-                yield batch.filter(is_open).select([0, 2, 3, 4, 5])
-        ready = []
-        for cols in whole_groups(opened(), 0):
-            yield from (x for x in ready if x.num_rows)
-            ready.clear()
-            yield closed_cells(*cols)[0]
-        yield from (x for x in ready if x.num_rows)
-    dealt = cells.repartition("deal").sortWithinPartitions("deal", "doc", "s")
-    return dealt.mapInArrow(star, CLOSED)
+        for held in gathered(batches):
+            out = {k: [x] for k, x in held.items() if k == LINK or k == MET and keep_cells}
+            if OPEN in held:
+                cols = whole(OPEN, held.pop(OPEN))
+                order = np.lexsort((cols[3], cols[1], cols[0]))
+                met, links = closed(*(x[order] for x in cols))
+                out.setdefault(LINK, []).append(np.stack(thin(LINK, links)))
+                if keep_cells:
+                    out.setdefault(MET, []).append(np.stack(thin(MET, met)))
+            for kind, parts in out.items():
+                cols = np.concatenate(parts, 1)
+                if cols.shape[1]:
+                    yield by_doc(kind, list(cols))
+    return dealt(cells).mapInArrow(star, PACKED)
 
 
 def wider_cells(cells: DataFrame, bands: int) -> DataFrame:
-    """Cells over all bands, and over two neighbouring ones, where each band meets another document."""
+    """Cells over all bands, and over two neighbouring ones, where each band meets another document. Links pass, those
+    that touch on one diagonal as one."""
     groups = [*([b, b + 1] for b in range(0, bands - 1, 2) if bands > 2), list(range(bands))]
 
+    def laid_out(doc, band, s, e, key):
+        heads = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]]))
+        ids, low = doc[heads], np.minimum.reduceat(s, heads)
+        size = np.maximum.reduceat(e, heads) - low + 1
+        run = np.cumsum(size) // LAID_OUT
+        first = np.flatnonzero(np.concatenate([[True], run[1:] != run[:-1]]))
+        for i, j in zip(first, np.append(first[1:], len(ids))):
+            cut = slice(heads[i], heads[j] if j < len(heads) else len(doc))
+            own = np.repeat(np.arange(j - i), np.diff(np.append(heads[i:j], cut.stop)))
+            base = np.cumsum(size[i:j]) - size[i:j] - low[i:j]
+            n = e[cut] - s[cut] + 1
+            at = np.repeat(base[own] + s[cut] - np.cumsum(n) + n, n) + np.arange(n.sum())
+            keys = np.zeros((bands, int(size[i:j].sum())), np.int64)
+            keys[np.repeat(band[cut], n), at] = np.repeat(key[cut], n)
+            yield ids[i:j], base, np.repeat(np.arange(j - i), size[i:j]), keys
+
     def derive(batches):
-        for doc, band, s, e, key in whole_groups(batches, 0):
-            new = np.concatenate([[True], doc[1:] != doc[:-1]])
-            heads = np.flatnonzero(new)
-            ids, size = doc[heads], np.maximum.reduceat(e, heads).astype(np.int64) + 1
-            base = np.cumsum(size) - size
-            n = (e - s + 1).astype(np.int64)
-            at = np.repeat(base[np.cumsum(new) - 1] + s - np.cumsum(n) + n, n) + np.arange(n.sum())
-            keys = np.zeros((bands, int(size.sum())), np.int64)
-            keys[np.repeat(band, n), at] = np.repeat(key, n)
-            row = np.repeat(np.arange(len(ids)), size)
-            for g, own in enumerate(groups):
-                place = np.flatnonzero((keys[own] != 0).all(0))
-                joined = np.full(len(place), g + 1, np.uint64)
-                for b in own:
-                    joined = mixed(joined * np.uint64(0x9E3779B97F4A7C15) + keys[b, place].astype(np.uint64))
-                joined = joined.astype(np.int64)
-                a, z = runs_of(joined, place, row[place])
-                at_row, first, last = row[place[a]], place[a], place[z]
-                yield from local_cells(joined[a], ids[at_row], first - base[at_row], last - base[at_row], np.full(len(a), bands + g))
-    dealt = cells.select("doc", "band", "s", "e", "key").repartition("doc").sortWithinPartitions("doc")
-    return dealt.mapInArrow(derive, CELL)
+        for held in gathered(batches):
+            if LINK in held:
+                yield by_doc(LINK, thin(LINK, touching(*whole(LINK, held.pop(LINK)))))
+            if MET not in held:
+                continue
+            cols = whole(MET, held.pop(MET))
+            order = np.argsort(cols[0], kind="stable")
+            found = []
+            for ids, base, row, keys in laid_out(*(x[order] for x in cols)):
+                for g, own in enumerate(groups):
+                    place = np.flatnonzero((keys[own] != 0).all(0))
+                    joined = np.full(len(place), g + 1, np.uint64)
+                    for b in own:
+                        joined = mixed(joined * np.uint64(0x9E3779B97F4A7C15) + keys[b, place].astype(np.uint64))
+                    joined = joined.astype(np.int64)
+                    a, z = runs_of(joined, place, row[place])
+                    at_row, first, last = row[place[a]], place[a], place[z]
+                    found.append((joined[a], ids[at_row], np.full(len(a), bands + g), first - base[at_row], last - base[at_row]))
+            yield from local_cells(*(np.concatenate(x) for x in zip(*found)), False)
+    return dealt(cells).mapInArrow(derive, PACKED)
+
+
+def apart(group: np.ndarray, s: np.ndarray, e: np.ndarray) -> np.ndarray:
+    """Of intervals ordered by group and start, those that begin beyond all before them in their group, by more than DRIFT."""
+    reach = np.maximum.accumulate(e + (group << 32)) - (group << 32)
+    return np.concatenate([[True], (group[1:] != group[:-1]) | (s[1:] > reach[:-1] + DRIFT)])
+
+
+def touching(doc, to, s, e, ts, te) -> list[np.ndarray]:
+    """Links of one pair on the same diagonal that touch as one; `merged` makes the same of them."""
+    diagonal = ts - s
+    order = np.lexsort((s, diagonal, to, doc))
+    doc, to, s, e, ts, te, diagonal = (x[order] for x in (doc, to, s, e, ts, te, diagonal))
+    group = np.cumsum(np.concatenate([[True], (doc[1:] != doc[:-1]) | (to[1:] != to[:-1]) | (diagonal[1:] != diagonal[:-1])]))
+    at = np.flatnonzero(apart(group, s, e))
+    return [doc[at], to[at], s[at], np.maximum.reduceat(e, at), ts[at], np.maximum.reduceat(te, at)]
 
 
 def merged(doc, to, s, e, ts, te, least: int) -> list[np.ndarray]:
@@ -230,44 +335,107 @@ def merged(doc, to, s, e, ts, te, least: int) -> list[np.ndarray]:
     cluster = np.cumsum(new)
     order = np.lexsort((s, cluster))
     doc, to, s, e, ts, te, cluster = (x[order] for x in (doc, to, s, e, ts, te, cluster))
-    reach = np.maximum.accumulate(e + (cluster << 32)) - (cluster << 32)
-    new = np.concatenate([[True], (cluster[1:] != cluster[:-1]) | (s[1:] > reach[:-1] + DRIFT)])
-    at = np.flatnonzero(new)
+    at = np.flatnonzero(apart(cluster, s, e))
     return [doc[at], to[at], s[at], np.maximum.reduceat(e, at) + least - 1,
             np.maximum(np.minimum.reduceat(ts, at) - DRIFT, 0), np.maximum.reduceat(te, at) + least - 1 + DRIFT]
 
 
 def candidate_passages(links: DataFrame, least: int) -> DataFrame:
     def join(batches):
-        for cols in whole_groups(batches, 0):
-            out = merged(*(x.astype(np.int64) for x in cols), least)
+        for held in gathered(batches):
+            if LINK not in held:
+                continue
+            out = merged(*whole(LINK, held.pop(LINK)), least)
             yield pa.RecordBatch.from_arrays([pa.array(x if k < 2 else x.astype(np.int32)) for k, x in enumerate(out)], ["doc", "to", "s", "e", "ts", "te"])
-    dealt = links.repartition("doc").sortWithinPartitions("doc")
-    return dealt.mapInArrow(join, "doc long, to long, s int, e int, ts int, te int")
-
-
-def verified(own: np.ndarray, other: np.ndarray, least: int, gap: int = DRIFT) -> list[tuple[int, int, int, int, float]]:
-    """Matching passages of two shingle sequences: (start, end, start there, end there, similarity).
-    Runs of matches with gaps up to `gap`; a run that is not similar enough as a whole is tried in
-    shorter runs, down to those without a gap."""
-    out = []
-    seen = np.flatnonzero(np.isin(own, other))
-    for run in np.split(seen, np.flatnonzero(np.diff(seen) > gap) + 1):
-        if len(run) == 0 or run[-1] - run[0] + 1 < least:
-            continue
-        a, b = int(run[0]), int(run[-1])
-        there = np.flatnonzero(np.isin(other, own[a:b + 1]))
-        best = max(np.split(there, np.flatnonzero(np.diff(there) > gap) + 1), key=len)
-        x, y = np.unique(own[a:b + 1]), np.unique(other[best[0]:best[-1] + 1])
-        same = len(np.intersect1d(x, y, assume_unique=True))
-        union = len(x) + len(y) - same
-        if int(best[-1] - best[0]) + 1 >= least and WHOLE * same >= PART * union:
-            out.append((a, b, int(best[0]), int(best[-1]), same / union))
-        elif gap > 1:
-            out += [(a + i, a + j, u, v, z) for i, j, u, v, z in verified(own[a:b + 1], other, least, gap // 3)]
+    return dealt(links).mapInArrow(join, "doc long, to long, s int, e int, ts int, te int")
+
+
+def slices(text: pa.Array, row: np.ndarray, first: np.ndarray, n: np.ndarray) -> Iterator[tuple[slice, pa.Array]]:
+    """Words first..first + n - 1 of the texts `row`, lower-cased, each slice joined by single spaces; ends beyond a text are cut.
+    Some slices at a time, with their places."""
+    encoded, starts = words(text)
+    first = np.minimum(starts[row] + first, starts[row + 1])
+    n = np.minimum(n, starts[row + 1] - first)
+    run = np.cumsum(n) // LAID_OUT
+    cuts = np.flatnonzero(np.concatenate([[True], run[1:] != run[:-1]])[:len(run)])
+    for i, j in zip(cuts, np.append(cuts[1:], len(run))):
+        offsets = np.concatenate([[0], np.cumsum(n[i:j])])
+        taken = encoded.take(pa.array(np.repeat(first[i:j] - offsets[:-1], n[i:j]) + np.arange(offsets[-1]))).dictionary_decode()
+        yield slice(i, j), pc.binary_join(pa.LargeListArray.from_arrays(pa.array(offsets), taken), pa.scalar(" ", pa.large_string()))
+
+
+def spread(first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All places first..last - 1 of each pair, and the number of its pair."""
+    n = np.maximum(last - first, 0)
+    return np.repeat(first - np.cumsum(n) + n, n) + np.arange(n.sum()), np.repeat(np.arange(len(n)), n)
+
+
+def tagged(value: np.ndarray, item: np.ndarray) -> np.ndarray:
+    """Equal for equal values of one item only."""
+    return mixed(value + item.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+
+
+def among(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """np.isin by sorted values, which is several times as fast here."""
+    if not len(x) or not len(y):
+        return np.zeros(len(x), bool)
+    order, y = np.argsort(x), np.sort(y)
+    x = x[order]
+    out = np.empty(len(x), bool)
+    out[order] = y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x
     return out
 
 
+def distinct(value: np.ndarray, item: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    order = np.argsort(value)
+    value = value[order]
+    new = np.concatenate([[True], value[1:] != value[:-1]])[:len(value)]
+    return value[new], item[order[new]]
+
+
+def runs_with_gaps(item: np.ndarray, place: np.ndarray, gap: int) -> tuple[np.ndarray, np.ndarray]:
+    """First and last index of the runs of places of one item that are at most `gap` apart."""
+    first = np.flatnonzero(np.concatenate([[True], (item[1:] != item[:-1]) | (np.diff(place) > gap)])[:len(item)])
+    return first, np.append(first[1:], len(item)) - 1
+
+
+def verified(own: np.ndarray, at: np.ndarray, end: np.ndarray, other: np.ndarray, there: np.ndarray, stop: np.ndarray, least: int,
+             gap: int = DRIFT) -> list[np.ndarray]:
+    """Matching passages of the shingle sequences own[at:end] and other[there:stop] of each pair: (pair, start, end, start there,
+    end there, similarity), places within own and other. Runs of matches with gaps up to `gap`; a run that is not similar enough
+    as a whole is tried in shorter runs, down to those without a gap."""
+    pair, found = np.arange(len(at)), [[np.zeros(0, np.int64)] * 5 + [np.zeros(0)]]
+    while len(pair):
+        place, item = spread(at, end)
+        facing, row = spread(there, stop)
+        seen = among(tagged(own[place], item), tagged(other[facing], row))
+        place, item = place[seen], item[seen]
+        first, last = runs_with_gaps(item, place, gap)
+        wide = place[last] - place[first] + 1 >= least
+        run, a, b = item[first[wide]], place[first[wide]], place[last[wide]]
+        pair, there, stop = pair[run], there[run], stop[run]
+        place, item = spread(a, b + 1)
+        mine = tagged(own[place], item)
+        facing, row = spread(there, stop)
+        theirs = tagged(other[facing], row)
+        match = np.flatnonzero(among(theirs, mine))
+        first, last = runs_with_gaps(row[match], facing[match], gap)
+        order = np.lexsort((first, first - last, row[match[first]]))  # of each run the longest, and of these the first
+        best = order[np.unique(row[match[first[order]]], return_index=True)[1]]
+        x, y = facing[match[first[best]]], facing[match[last[best]]]
+        inside = (facing >= x[row]) & (facing <= y[row])
+        mine, item = distinct(mine, item)
+        theirs, row = distinct(theirs[inside], row[inside])
+        same = np.bincount(item[among(mine, theirs)], minlength=len(a))
+        union = np.bincount(item, minlength=len(a)) + np.bincount(row, minlength=len(a)) - same
+        good = (y - x + 1 >= least) & (WHOLE * same >= PART * union)
+        found.append([z[good] for z in (pair, a, b, x, y, same / np.maximum(union, 1))])
+        if gap <= 1:
+            break
+        pair, at, end, there, stop, gap = pair[~good], a[~good], b[~good] + 1, there[~good], stop[~good], gap // 3
+    return [np.concatenate(z) for z in zip(*found)]
+
+
 def passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, least_words: int = WORDS, k: int = K,
              bands: int = BANDS) -> DataFrame:
     """One row per verified passage: doc_id, start_word, n_words, keep_id, keep_start_word, keep_n_words,
@@ -278,50 +446,63 @@ def passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *,
     """
     least = least_words - k + 1
     slim = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text")).where("doc_id IS NOT NULL AND text IS NOT NULL")
-    cells = stored(closed(band_cells(slim, bands, least, k)), "op1-cells")
-    wide = closed(wider_cells(cells, bands))
-    links = cells.unionByName(wide).where("to IS NOT NULL").select("doc", "to", "s", "e", "ts", "te")
+    cells = closed_classes(band_cells(slim, bands, least, k), True)
+    links = closed_classes(wider_cells(cells, bands), False)
     found = stored(candidate_passages(links, least), "op1-candidates")
     # a document needs its own passages and, as the kept one, one copy of itself for each salt of its links
-    salt = F.pmod(F.xxhash64("doc"), F.lit(32)).cast("int")
-    own = found.groupBy("doc").agg(F.collect_list(F.struct("to", "s", "e", "ts", "te")).alias("spans"), F.lit(None).cast("array<int>").alias("salts"))
-    kept = found.groupBy("to").agg(F.collect_set(salt).alias("salts")).select(F.col("to").alias("doc"), F.lit(None).cast(own.schema["spans"].dataType).alias("spans"), "salts")
-    needs = own.unionByName(kept)
-    held = slim.join(needs, F.col("doc_id") == F.col("doc")).select(
-        "doc_id", "text", *[F.col(f"spans.{c}").alias(c) for c in ("to", "s", "e", "ts", "te")], "salts")
+    salts = found.groupBy("to").agg(F.ceil(F.count("*") / LINKS).cast("int").alias("salts"))
+    found = found.join(salts, "to").withColumn("salt", F.pmod(F.xxhash64("doc"), "salts").cast("int"))
+    own = found.groupBy("doc").agg(F.collect_list(F.struct("to", "salt", "s", "e", "ts", "te")).alias("spans"), F.lit(None).cast("array<int>").alias("copies"))
+    kept = found.groupBy("to").agg(F.collect_set("salt").alias("copies")).select(F.col("to").alias("doc"), F.lit(None).cast(own.schema["spans"].dataType).alias("spans"), "copies")
+    needs = own.unionByName(kept).groupBy("doc").agg(F.first("spans", True).alias("spans"), F.first("copies", True).alias("copies"))
+    held = slim.join(needs, F.col("doc_id") == F.col("doc")).select("doc_id", "text", "spans", "copies")
+
+    types = [pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.int32()]
 
     def derive(batches):
-        for whole in batches:
-            for batch in by_size(whole, 1, BATCH_CHARS):
-                value, starts = sequences(as_text(batch.column(1)), k)
-                lists = [batch.column(c).to_pylist() for c in (2, 3, 4, 5, 6, 7)]
-                for at, doc in enumerate(batch.column(0).to_pylist()):
-                    text = value[starts[at]:starts[at + 1]]
-                    rows = [(doc, salt_, None, None, None, None, text.tobytes()) for salt_ in lists[5][at] or ()]
-                    if lists[0][at]:
-                        rows += [(to, None, doc, s, ts, te, text[s:e + 1].tobytes()) for to, s, e, ts, te in zip(*(x[at] for x in lists[:5]))]
-                    if rows:
-                        cols = list(zip(*rows))
-                        yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int32()), pa.array(cols[2], pa.int64()),
-                                                          *[pa.array(cols[c], pa.int32()) for c in (3, 4, 5)], pa.array(cols[6], pa.binary())],
-                                                         ["to", "salt", "doc", "s", "ts", "te", "part"])
+        for table in batches:
+            for batch in by_size(table, 1, BATCH_CHARS // 3):
+                ids, spans, copies = batch.column(0).to_numpy(), batch.column(2), batch.column(3)
+                row, copy = pc.list_parent_indices(spans).to_numpy(), pc.list_parent_indices(copies).to_numpy()
+                to, salt, s, e, ts, te = (x.to_numpy() for x in spans.flatten().flatten())
+                blank = np.zeros(len(copy), np.int64)
+                at = np.concatenate([copy, row])
+                cols = [np.concatenate(x) for x in ((ids[copy], to), (copies.flatten().to_numpy(), salt), (blank, ids[row]), (blank, s), (blank, ts), (blank, te))]
+                n = np.concatenate([blank + 2**31, e.astype(np.int64) - s + k])
+                none = np.arange(len(at)) < len(copy)
+                for own, part in slices(as_text(batch.column(1)), at, cols[3], n):
+                    yield pa.RecordBatch.from_arrays(
+                        [*[pa.array(x[own], t, mask=none[own] if c > 1 else None) for c, (x, t) in enumerate(zip(cols, types))], part.cast(pa.string())],
+                        ["to", "salt", "doc", "s", "ts", "te", "part"])
 
     def check(batches):
-        kept_id, text = None, None
-        for batch in batches:
-            out = []
-            for to, _, doc, s, ts, te, part in zip(*(x.to_pylist() for x in batch.columns)):
-                part = np.frombuffer(part, np.uint64)
-                if doc is None:
-                    kept_id, text = to, part
-                elif to == kept_id:
-                    for a, b, x, y, same in verified(part, text[ts:te + 1], least):
-                        out.append((doc, s + a, b - a + k, to, ts + x, y - x + k, same))
-            cols = list(zip(*out)) or [[]] * 7
-            yield pa.RecordBatch.from_arrays([pa.array(cols[c], pa.float64() if c == 6 else pa.int64()) for c in range(7)],
-                                             ["doc_id", "start_word", "n_words", "keep_id", "keep_start_word", "keep_n_words", "similarity"])
-
-    parts = held.mapInArrow(derive, "to long, salt int, doc long, s int, ts int, te int, part binary")
-    parts = parts.withColumn("salt", F.coalesce("salt", F.pmod(F.xxhash64("doc"), F.lit(32)).cast("int")))
-    dealt = parts.repartition("to", "salt").sortWithinPartitions("to", "salt", F.col("doc").isNotNull())
-    return dealt.mapInArrow(check, "doc_id long, start_word long, n_words long, keep_id long, keep_start_word long, keep_n_words long, similarity double").distinct()
+        kept_id, text = None, np.zeros(0, np.uint64)
+        for table in batches:
+            for batch in by_size(table, 6, BATCH_CHARS // 3):
+                value, starts = sequences(as_text(batch.column(6)), k)
+                to, s = batch.column(0).to_numpy(), batch.column(3).fill_null(0).to_numpy().astype(np.int64)
+                is_kept = batch.column(2).is_null().to_numpy(zero_copy_only=False)
+                # the kept text of each row: the last one before it in this batch, or the one that the batch before ended with
+                value = np.concatenate([value, text])
+                begins, ends = np.append(starts[:-1], starts[-1]), np.append(starts[1:], len(value))
+                holder = np.maximum.accumulate(np.where(is_kept, np.arange(len(to)), -1))
+                holds = np.append(to, -1 if kept_id is None else kept_id)[holder]
+                row = np.flatnonzero(~is_kept & (holds == to) & ((holder >= 0) | (kept_id is not None)))
+                base, limit = begins[holder[row]], ends[holder[row]]
+                there = np.minimum(base + batch.column(4).fill_null(0).to_numpy()[row], limit)
+                stop = np.minimum(base + batch.column(5).fill_null(0).to_numpy()[row] + 1, limit)
+                load = np.cumsum(ends[row] - begins[row] + stop - there) // LAID_OUT
+                cuts = np.flatnonzero(np.concatenate([[True], load[1:] != load[:-1]])[:len(load)])
+                for i, j in zip(cuts, np.append(cuts[1:], len(row))):
+                    own = row[i:j]
+                    pair, a, b, x, y, same = verified(value, begins[own], ends[own], value, there[i:j], stop[i:j], least)
+                    own, origin = own[pair], base[i:j][pair]
+                    cols = [batch.column(2).fill_null(0).to_numpy()[own], s[own] + a - begins[own], b - a + k, to[own], x - origin, y - x + k]
+                    yield pa.RecordBatch.from_arrays([*[pa.array(z.astype(np.int64)) for z in cols], pa.array(same.astype(np.float64))],
+                                                     ["doc_id", "start_word", "n_words", "keep_id", "keep_start_word", "keep_n_words", "similarity"])
+                if len(to) and holder[-1] >= 0:
+                    kept_id, text = to[holder[-1]], value[begins[holder[-1]]:ends[holder[-1]]].copy()
+
+    parts = held.mapInArrow(derive, "to long, salt int, doc long, s int, ts int, te int, part string")
+    halves = parts.repartition("to", "salt").sortWithinPartitions("to", "salt", F.col("doc").isNotNull())
+    return halves.mapInArrow(check, "doc_id long, start_word long, n_words long, keep_id long, keep_start_word long, keep_n_words long, similarity double").distinct()

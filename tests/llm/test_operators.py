@@ -3,7 +3,10 @@
 import hashlib
 import itertools
 import math
+import os
 import re
+import subprocess
+import sys
 import zlib
 from collections import Counter, defaultdict
 
@@ -287,3 +290,43 @@ def test_small_languages_keep_their_models(spark):
     assert set(perplexity.train(frame, labels).alphabets) == {"*", "en", *(f"l{j}" for j in range(12))}
     own = [r for r in perplexity.quality_report(frame, labels).where("lang <> 'en'").collect()]
     assert len(own) == 24 and all(r.kept for r in own) and len({r.threshold for r in own}) == 12
+
+
+def test_rows_of_cells_and_links_travel_packed():
+    rng = np.random.default_rng(9)
+    ids = np.sort(rng.integers(10**6, 10**6 + 5000, 3000))
+    columns = [ids, rng.integers(-2**63, 2**63 - 1, 3000), rng.integers(0, 900, 3000), rng.integers(-50, 50, 3000), np.zeros(3000, np.int64)]
+    for n in (3000, 1):
+        data = substring_dedup.packed([x[:n] for x in columns])
+        assert (substring_dedup.unpacked(data, n, 5) == np.stack([x[:n] for x in columns])).all()
+    assert len(substring_dedup.packed(columns)) < 3000 * 13  # a key of eight bytes among them
+    blob = substring_dedup.blobs(substring_dedup.LINK, ids >> 4, [ids, *columns[1:], ids])
+    got = {int(i): 0 for i in ids}
+    for most in (10**6, 70):  # one bucket in parts: rows with equal first values stay together
+        old, substring_dedup.MOST = substring_dedup.MOST, most
+        parts = [x[substring_dedup.LINK] for x in substring_dedup.gathered(iter([blob]))]
+        substring_dedup.MOST = old
+        assert sum(x.shape[1] for x in parts) == 3000 and (len(parts) > 1) == (most == 70)
+        assert Counter(i for x in parts for i in set(x[0].tolist())) == dict.fromkeys(got, 1)
+
+
+def test_passages_write_less_than_their_text_several_times(spark, tmp_path):
+    """In a session of its own, whose shuffle files stay: before, they were six times the text."""
+    rng = np.random.default_rng(4)
+    texts = [" ".join(VOCABULARY[k] for k in rng.integers(0, 400, 600)) for _ in range(1500)]
+    rows = [(k, t) for k, t in enumerate(texts)] + [(10000 + k, texts[k] if k % 2 else " ".join(t.split()[:300])) for k, t in enumerate(texts[:700])]
+    source = str(tmp_path / "docs")
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(2).write.parquet(source)
+    code = f"""
+from cargotide.llm import substring_dedup
+from cargotide.session import build_session
+spark = build_session("disk", "local[2]", **{{"spark.ui.enabled": "false", "spark.local.dir": {str(tmp_path / "local")!r}, "spark.sql.shuffle.partitions": "4",
+    "spark.checkpoint.dir": {str(tmp_path / "ckpt")!r}, "spark.cleaner.referenceTracking": "false"}})
+rows = substring_dedup.passages(spark.read.parquet({source!r})).collect()
+import os
+print(len(rows), sum(os.path.getsize(os.path.join(d, f)) for top in {[str(tmp_path / "local"), str(tmp_path / "ckpt")]!r} for d, _, names in os.walk(top) for f in names))
+"""
+    env = {k: v for k, v in os.environ.items() if k != "SPARK_LOCAL_DIRS"} | {"PYTHONPATH": os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))}
+    n, size = map(int, subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True, env=env).stdout.split()[-2:])
+    text = sum(len(t) for _, t in rows)
+    assert n >= 700 and size < 3.5 * text, (n, size / text)
